@@ -15,6 +15,7 @@ from scorelake.operators.group_sums import group_totals
 from scorelake.plans import checks, mapping, marts, measures, profile, reconcile, stage, validate
 from scorelake.plans.schemas import COLUMNS, REQUIRED
 from scorelake.sources import writers
+from scorelake.sources.checkpoint import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -238,7 +239,7 @@ def validate_students(spark, d):
 
 @query
 def validate_assessments(spark, d):
-    return _judged(spark, d, "assessments", F.col("_k").alias("k"), "assessment_id", "weight_percentage")
+    return _judged(spark, d, "assessments", F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), "assessment_id", "weight_percentage")
 
 
 @query
@@ -479,8 +480,8 @@ def assign_entities(spark, d):
 
 @query
 def map_columns(spark, d):
-    catalog = _word_catalog(spark, d)
-    assigned = mapping.assign_entities(mapping.score_tables(catalog), 0.1)
+    catalog = materialize(_word_catalog(spark, d), "catalog")
+    assigned = materialize(mapping.assign_entities(mapping.score_tables(catalog), 0.1), "assigned")
     return mapping.map_columns(catalog, assigned)
 
 
@@ -622,7 +623,7 @@ def check_reasons(spark, d):
 @query
 def check_manifest(spark, d):
     listed = writers.file_manifest(spark, [f"{d}/{t}.parquet" for t in binding.TABLES])
-    expected = table(spark, d, "documents").select(F.concat(F.lit("part-"), F.col("source")).alias("file")).distinct()
+    expected = spark.createDataFrame([(f"{t}.parquet",) for t in [*binding.TABLES, "missing"]], "file string")
     return checks.check_manifest(listed, expected)
 
 
@@ -631,7 +632,7 @@ def check_seeded(spark, d):
     """Ids seeded with a non-numeric score against those found by the rule."""
     rows = raw(spark, d, "grades")["grades"]
     seeded = rows.filter("score = 'ND'").select("grade_id")
-    found = rows.filter(~predicates.numeric_shape(F.col("score"))).select("grade_id")
+    found = rows.filter(~text.is_blank(F.col("score")) & ~predicates.numeric_shape(F.col("score"))).select("grade_id")
     return checks.check_seeded(seeded, found, "grades")
 
 

@@ -11,14 +11,16 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """One row per key, the first in ``order``.
 
     Filtering row_number to 1 lets Spark drop all but the first row of every
-    key before the shuffle, so a hot key sends one row per map task.
+    key before the shuffle, so a hot key sends one row per map task. The hash
+    in front of the keys makes that sort compare one BIGINT for most pairs.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
+    w = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
 def _repeated_keys(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), *aggs).filter("_copies > 1").drop("_copies")
+    counted = df.groupBy(F.xxhash64(*keys).alias("_hash"), *keys).agg(F.count(F.lit(1)).alias("_copies"), *aggs)
+    return counted.filter("_copies > 1").drop("_copies", "_hash")
 
 
 def flag_duplicates(

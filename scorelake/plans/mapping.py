@@ -19,6 +19,7 @@ from scorelake.operators.skew import salted_left_join
 from scorelake.plans.schemas import (
     ALIASES, BONUS, COLUMNS, FIELD_WORDS, IGNORED_TABLE_WORDS, MAPPING_REQUIRED, PROCESS_REQUIRED, TABLE_WORDS, WEIGHT_RULES,
 )
+from scorelake.sources.checkpoint import materialize
 from scorelake.sources.readers import ORDINAL, empty_table
 
 MIN_SCORE = 0.4
@@ -94,18 +95,17 @@ def greedy_pairs(df: DataFrame, group: list[str], left: str, right: str, ranks:
     w = Window.partitionBy(*group, right).orderBy(*ranks)
     best = df.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") <= rights)
     rank = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(ranks)])
-    pair = F.struct(rank.alias("_rank"), F.col(left).alias("l"), F.col(right).alias("r"))
+    row = F.struct(*[F.col(c) for c in df.columns if c not in group])
+    pair = F.struct(rank.alias("rank"), row.alias("row"))
     offers = best.groupBy(*group).agg(F.array_sort(F.collect_list(pair)).alias("offers"))
-    slim = F.transform("offers", lambda x: F.struct(x["l"].alias("l"), x["r"].alias("r")))
-    kind = f"array<struct<l:{df.schema[left].dataType.simpleString()},r:{df.schema[right].dataType.simpleString()}>>"
+    rows = F.transform("offers", lambda x: x["row"])
 
     def take(chosen: Column, x: Column) -> Column:
-        taken = F.array_contains(chosen["l"], x["l"]) | F.array_contains(chosen["r"], x["r"])
-        return F.when(taken, chosen).otherwise(F.array_append(chosen, x))
+        taken = F.array_contains(chosen[left], x[left]) | F.array_contains(chosen[right], x[right])
+        return F.when(taken, chosen).otherwise(F.concat(chosen, F.array(x)))
 
-    chosen = F.aggregate(slim, F.array().cast(kind), take)
-    pairs = offers.select(*group, F.explode(chosen).alias("p")).select(*group, F.col("p.l").alias(left), F.col("p.r").alias(right))
-    return pairs.join(df, [*group, left, right])
+    chosen = F.aggregate(rows, F.slice(rows, 1, 0), take)
+    return offers.select(*group, F.inline(chosen)).select(*df.columns)
 
 
 def assign_entities(scores: DataFrame, minimum: float = MIN_SCORE) -> DataFrame:
@@ -161,9 +161,10 @@ def proposal(catalog: DataFrame) -> DataFrame:
     """One row per mapped table, with its mapping and confidences as maps.
 
     Both maps hold at most one entry per field; ignored columns are counted,
-    and listed by ``ignored_columns``.
+    and listed by ``ignored_columns``. The assignment, a few rows per workbook,
+    is stored because three joins read it.
     """
-    assigned = assign_entities(score_tables(catalog))
+    assigned = materialize(assign_entities(score_tables(catalog)), "assigned")
     mapped = map_columns(catalog, assigned)
     where = ["workbook", "table_name"]
     maps = mapped.groupBy(*where).agg(

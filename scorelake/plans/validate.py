@@ -96,7 +96,13 @@ def label_students(
             _note("first_name", name, neat, "Espacios y formato en nombre corregidos", respaced),
             _note("gender", gender, code, "Normalización de género a estándar ('M'/'F')", recoded),
         ),
-    ).withColumns({"first_name": F.when(respaced, neat).otherwise(name), "gender": F.when(recoded, code).otherwise(F.col("gender"))})
+    ).withColumns(
+        {
+            "first_name": F.when(respaced, neat).otherwise(name),
+            "gender": F.when(recoded, code).otherwise(F.col("gender")),
+            "_birth": parse_date_multi(F.col("birth_date")),
+        }
+    )
     marked = flag_duplicates(fixed, ["student_id"], order, out="_dup_id")
     has_document = ~is_blank(F.col("document_number"), ["", "nan"])
     marked = flag_duplicates(marked, ["document_number"], order, has_document, "_dup_document")
@@ -106,7 +112,7 @@ def label_students(
         known = courses.select(strip_text(F.col("course_id")).alias("course_id"))
         marked = mark_present(marked, "_course", known, "course_id", order)
         unknown_course = ~is_blank(F.col("course_id")) & ~F.col("_present") & ~is_empty(known)
-    birth, raw = parse_date_multi(F.col("birth_date")), F.col("birth_date")
+    birth, raw = F.col("_birth"), F.col("birth_date")
     born = ~is_blank(raw)
     reason = first_reason(
         (is_blank(F.col("student_id")), "Null or empty student_id"),
@@ -119,7 +125,7 @@ def label_students(
         (F.col("_dup_id"), F.concat(F.lit("estudiante_id duplicado: "), "student_id")),
         (F.col("_dup_document"), F.concat(F.lit("documento duplicado: "), "document_number")),
     )
-    return marked.withColumn("error_reason", reason).drop("_dup_id", "_dup_document", "_course", "_present")
+    return marked.withColumn("error_reason", reason).drop("_birth", "_dup_id", "_dup_document", "_course", "_present")
 
 
 def _quoted(c: Column) -> Column:
@@ -141,15 +147,15 @@ def label_assessments(
     Groups are (subject, period), or subject alone when no still-valid row
     carries a period.
     """
-    marked = flag_duplicates(df, ["assessment_id"], order)
+    number = float_or_null(F.replace("weight_percentage", F.lit(","), F.lit(".")))
+    marked = flag_duplicates(df.withColumn("_number", F.nanvl(number, F.lit(None))), ["assessment_id"], order)
     unknown = F.lit(False)
     if subjects is not None:
         marked = marked.withColumn("_subject", strip_text(F.col("subject_id")))
         known = subjects.select(strip_text(F.col("subject_id")).alias("subject_id"))
         marked = mark_present(marked, "_subject", known, "subject_id", order)
         unknown = ~is_blank(F.col("subject_id")) & ~F.col("_present") & ~is_empty(known)
-    weight = float_or_null(F.replace("weight_percentage", F.lit(","), F.lit(".")))
-    weight = F.when(~F.isnan(weight), weight)
+    weight = F.col("_number")
     by_row = first_reason(
         (is_blank(F.col("assessment_id")), "Null or empty assessment_id"),
         (is_blank(F.col("assessment_name")), "Null or empty assessment_name"),
@@ -159,24 +165,22 @@ def label_assessments(
         (F.col("_duplicate"), F.concat(F.lit("Duplicate assessment_id: "), "assessment_id")),
     )
     rows = marked.withColumns({"error_reason": by_row, "_weight": weight.try_cast("decimal(18,6)")})
-    rows = rows.drop("_duplicate", "_subject", "_present")
+    rows = rows.drop("_duplicate", "_subject", "_present", "_number")
+    # Stored here: the period test, the group sums and the rows all read it.
+    rows = materialize(rows, "assessment-rows")
     sound = F.col("error_reason").isNull()
-    # NULL stands for "no row carries a period": then all rows share one key.
-    has_period = ~is_empty(rows.filter(sound & ~is_blank(F.col("period_id"))))
-    rows = rows.withColumn("_by_period", has_period)
-    rows = rows.withColumn("_period", F.when(F.col("_by_period"), F.col("period_id")).otherwise(F.lit("")))
-    rows = flag_group_sum(
-        rows, ["subject_id", "_period"], F.col("_weight"), order, sound, 100, tolerance, (1.0, 0.01), null_keys
-    )
+    by_period = not rows.filter(sound & ~is_blank(F.col("period_id"))).isEmpty()
+    keys = ["subject_id", "period_id"] if by_period else ["subject_id"]
+    rows = flag_group_sum(rows, keys, F.col("_weight"), order, sound, 100, tolerance, (1.0, 0.01), null_keys)
     subject = F.coalesce(F.col("subject_id"), F.lit("nan"))
-    pair = F.concat(F.lit("("), _quoted(subject), F.lit(", "), _quoted(F.coalesce("_period", F.lit("nan"))), F.lit(")"))
-    total = float_text(F.bround(F.col("_bad_total"), 2).cast("double"))
+    period = F.coalesce(F.col("period_id"), F.lit("nan"))
+    pair = F.concat(F.lit("("), _quoted(subject), F.lit(", "), _quoted(period), F.lit(")"))
     by_group = F.concat(
-        F.lit("pesos de evaluación del grupo "), F.when(F.col("_by_period"), pair).otherwise(subject),
-        F.lit(" suman "), total, F.lit("%, esperado 100%"),
+        F.lit("pesos de evaluación del grupo "), pair if by_period else subject, F.lit(" suman "),
+        float_text(F.bround(F.col("_bad_total"), 2).cast("double")), F.lit("%, esperado 100%"),
     )
     reason = F.coalesce("error_reason", F.when(F.col("_bad_total").isNotNull(), by_group))
-    return rows.withColumn("error_reason", reason).withColumn("_log", _no_log()).drop("_weight", "_by_period", "_period", "_bad_total")
+    return rows.withColumn("error_reason", reason).withColumn("_log", _no_log()).drop("_weight", "_bad_total")
 
 
 def label_grades(
@@ -189,8 +193,12 @@ def label_grades(
 ) -> DataFrame:
     """``_fixed_score`` carries the comma-corrected score of a valid row;
     ``score`` keeps the text as it came, which is what errors show."""
+    text = strip_text(F.col("score"))
+    dotted = F.when(text.rlike(COMMA_DECIMAL), F.replace(text, F.lit(","), F.lit("."))).otherwise(text)
+    # Parsed before the joins, so that a later filter on the reason reuses them.
+    parsed = df.withColumns({"_dotted": dotted, "_value": float_or_null(dotted), "_day": parse_date_multi(F.col("submission_date"))})
     keys = [c for c in ["student_id", "assessment_id", "score", "submission_date"] if c in df.columns]
-    rows = flag_duplicates(df, keys, order) if len(keys) >= 2 else df.withColumn("_duplicate", F.lit(False))
+    rows = flag_duplicates(parsed, keys, order) if len(keys) >= 2 else parsed.withColumn("_duplicate", F.lit(False))
     unknown = {}
     for key, parent in (("student_id", students), ("assessment_id", assessments)):
         unknown[key] = F.lit(False)
@@ -199,12 +207,8 @@ def label_grades(
             rows = rows.withColumn("_key", _shown(F.col(key)))
             rows = mark_present(rows, "_key", known, key, order, f"_has_{key}").drop("_key")
             unknown[key] = ~F.col(f"_has_{key}") & ~is_empty(known)
-    raw, day = F.col("score"), F.col("submission_date")
-    text = strip_text(raw)
-    comma = text.rlike(COMMA_DECIMAL)
-    dotted = F.when(comma, F.replace(text, F.lit(","), F.lit("."))).otherwise(text)
-    value = float_or_null(dotted)
-    parsed, dated = parse_date_multi(day), ~is_blank(day)
+    raw, day, value, parsed = F.col("score"), F.col("submission_date"), F.col("_value"), F.col("_day")
+    comma, dotted, dated = text != F.col("_dotted"), F.col("_dotted"), ~is_blank(day)
     reason = first_reason(
         (F.col("_duplicate"), "fila duplicada"),
         (is_blank(raw), "nota nula"),
@@ -226,15 +230,13 @@ def label_grades(
             "_log": _log(_note("score", text, dotted, why, reached)),
             "_fixed_score": F.when(comma, dotted).otherwise(raw),
         }
-    ).drop("_duplicate", "_has_student_id", "_has_assessment_id")
+    ).drop("_duplicate", "_has_student_id", "_has_assessment_id", "_dotted", "_value", "_day")
 
 
 def label_attendance(df: DataFrame) -> DataFrame:
     """Counts may be written as decimals and are cut to whole numbers."""
     def whole(name: str) -> Column:
-        number = float_or_null(F.col(name))
-        number = F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
-        return F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+        return float_or_null(F.col(name)).try_cast("bigint")
 
     total, absences = whole("total_classes"), whole("absences")
     reason = first_reason(
