@@ -1,8 +1,10 @@
 """Every operator run over the driver's tables, whole."""
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +14,12 @@ from scorelake.demo.binding import AS_OF, RAW_ORDER, clean, gold, raw, table
 from scorelake.functions import dates, numbers, predicates, text
 from scorelake.operators import duplicates, ordinals, references, upserts
 from scorelake.operators.group_sums import group_totals
-from scorelake.plans import checks, mapping, marts, measures, profile, reconcile, stage, validate
+from scorelake.plans import checks, mapping, marts, measures, profile, reconcile, stage, star, validate
+from scorelake.plans.layers import run_layers as run
 from scorelake.plans.schemas import COLUMNS, REQUIRED
 from scorelake.sources import writers
-from scorelake.sources.checkpoint import materialize
+from scorelake.sources.checkpoint import checkpoint_root, materialize
+from scorelake.sources.parallel import together
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -84,8 +88,6 @@ def highest_failure(spark, d):
 
 @query
 def dim_course(spark, d):
-    from scorelake.plans import star
-
     return star.dim_course(stage.stage_courses(raw(spark, d, "courses")["courses"], RAW_ORDER["courses"]))
 
 
@@ -111,13 +113,13 @@ def dim_date(spark, d):
 
 @query
 def kpis(spark, d):
-    final = _final_of(spark, d)
+    final = materialize(_final_of(spark, d), "final")
     return marts.dashboard_kpis(final, marts.student_performance(final), marts.subject_performance(final))
 
 
 @query
 def report_card(spark, d):
-    final = _final_of(spark, d)
+    final = materialize(_final_of(spark, d), "final")
     return marts.report_card(final, marts.student_performance(final), "7")
 
 
@@ -470,12 +472,12 @@ def _word_catalog(spark, d) -> DataFrame:
 
 @query
 def score_tables(spark, d):
-    return mapping.score_tables(_word_catalog(spark, d)).select("workbook", "table_name", "entity", "score")
+    return mapping.score_tables(materialize(_word_catalog(spark, d), "catalog")).select("workbook", "table_name", "entity", "score")
 
 
 @query
 def assign_entities(spark, d):
-    return mapping.assign_entities(mapping.score_tables(_word_catalog(spark, d)), 0.1).select("workbook", "table_name", "entity", "score")
+    return mapping.assign_entities(mapping.score_tables(materialize(_word_catalog(spark, d), "catalog")), 0.1).select("workbook", "table_name", "entity", "score")
 
 
 @query
@@ -691,15 +693,11 @@ def describe_scores(spark, d):
 
 @query
 def run_layers(spark, d):
-    """The whole run, from raw tables to the reconciliation report."""
-    import uuid
-
-    from scorelake.plans.layers import run_layers as run
-    from scorelake.sources.checkpoint import checkpoint_root
-
+    """The whole run, from uploaded tables to the reconciliation report."""
     root = f"{checkpoint_root(spark)}/scorelake/run-{uuid.uuid4().hex}"
     now = F.lit("2026-01-01 00:00:00").cast("timestamp")
-    done = run(spark, raw(spark, d), root, as_of(), now, RAW_ORDER)
+    uploads = together(spark, {n: partial(materialize, df, f"upload-{n}") for n, df in raw(spark, d).items()})
+    done = run(spark, uploads, root, as_of(), now, RAW_ORDER)
     if not done.ok:
         raise RuntimeError(done.stages[-1])
     return done.report

@@ -18,10 +18,11 @@ ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 def parse_date_multi(c: Column) -> Column:
     """DATE from any of the eight accepted layouts, else NULL.
 
-    The layout is rewritten to ISO text, then cast; impossible days give NULL.
+    Text that is ISO already is cast as it is, other layouts are rewritten to
+    ISO first; impossible days give NULL.
     """
     body = strip_text(c)
-    iso = F.when(body.rlike(YEAR_FIRST), F.regexp_replace(body, YEAR_FIRST, "$1-$3-$4")).when(
+    iso = F.when(body.rlike(STRICT_ISO), body).when(body.rlike(YEAR_FIRST), F.regexp_replace(body, YEAR_FIRST, "$1-$3-$4")).when(
         body.rlike(DAY_FIRST), F.regexp_replace(body, DAY_FIRST, "$4-$3-$1")
     )
     return F.when(~iso.startswith("0000"), iso.try_cast("date"))

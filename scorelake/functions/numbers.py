@@ -55,7 +55,7 @@ def to_double(c: Column) -> Column:
 def float_text(d: Column) -> Column:
     """A DOUBLE written the way Python prints it: 6.8, 12345678.0, 1e+16, nan."""
     java, size = d.cast("string"), F.abs(d)
-    plain = F.rtrim(F.lit("0"), java.try_cast("decimal(38,20)").cast("string"))
+    plain = F.rtrim(java.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
     plain = F.when(plain.endswith("."), F.concat(plain, F.lit("0"))).otherwise(plain)
     exponent = F.split_part(java, F.lit("E"), F.lit(2)).try_cast("int")
     mantissa = F.regexp_replace(F.split_part(java, F.lit("E"), F.lit(1)), r"\.0$", "")

@@ -58,8 +58,12 @@ def score_tables(catalog: DataFrame) -> DataFrame:
     0.4 for the share of fields found, a bonus for key columns, at most 1."""
     spark = catalog.sparkSession
     where = ["workbook", "table_name"]
-    headers = catalog.select(*where, normalize_header(F.col("column_name")).alias("word"))
-    found = headers.join(F.broadcast(_word_rows(spark)), "word").select(*where, "entity", "mark").distinct()
+    # Headers repeat over the uploads: each distinct one is looked up once.
+    heads = catalog.select("column_name").distinct().withColumn("word", normalize_header(F.col("column_name")))
+    known = heads.join(F.broadcast(_word_rows(spark)), "word")
+    known = known.groupBy("column_name").agg(F.collect_set(F.struct("entity", "mark")).alias("marks"))
+    marked = salted_left_join(catalog.select(*where, "column_name"), known, ["column_name"], where)
+    found = marked.filter("marks is not null").select(*where, F.inline("marks")).distinct()
     is_bonus = F.col("mark").startswith("#")
     hits = found.groupBy(*where, "entity").agg(F.count_if(~is_bonus).alias("_fields"), F.count_if(is_bonus).alias("_sets"))
     entities = F.array(
@@ -77,10 +81,10 @@ def score_tables(catalog: DataFrame) -> DataFrame:
     pairs = names.select("*", normalize_header(F.col("table_name")).alias("_name"), F.explode(entities).alias("e")).select("*", "e.*")
     ignored = F.exists(_strings(IGNORED_TABLE_WORDS), lambda w: F.col("_name").contains(w))
     by_name = F.when(F.array_contains("words", F.col("_name")), 0.6).when(_overlaps(F.col("words"), F.col("_name")), 0.4).otherwise(0.0)
-    scored = pairs.filter(~ignored).join(hits, [*where, "entity"], "left").fillna(0, ["_fields", "_sets"])
+    scored = pairs.join(hits, [*where, "entity"], "left").fillna(0, ["_fields", "_sets"])
     bonus = F.when(F.col("_sets") >= F.col("sets_needed"), F.col("bonus")).otherwise(0.0)
     score = F.least(F.lit(1.0), F.round(by_name + (F.col("_fields") / F.col("field_count") * 0.4 + bonus), 2))
-    out = scored.withColumn("score", score).filter("score > 0")
+    out = scored.withColumn("score", F.when(ignored, 0.0).otherwise(score)).filter("score > 0")
     return out.select(*where, "table_position", "entity", "entity_position", "score")
 
 
@@ -123,11 +127,12 @@ def map_columns(catalog: DataFrame, assigned: DataFrame) -> DataFrame:
 
     1.0 for a field's first word or its own name, 0.95 for its other words,
     0.70 for an overlap. Each distinct (entity, header) is scored once, then
-    joined back to the many columns that carry it.
+    joined back to the many columns that carry it; a header has at most one
+    option per field.
     """
     where = ["workbook", "table_name"]
     own = assigned.select(*where, "entity")
-    columns = catalog.join(own, where).withColumn("word", normalize_header(F.col("column_name")))
+    columns = catalog.join(own, where)
     fields = F.create_map(
         *[
             x
@@ -146,10 +151,10 @@ def map_columns(catalog: DataFrame, assigned: DataFrame) -> DataFrame:
         score = F.when(exact & top, 1.0).when(exact, 0.95).when(_overlaps(f["words"], word), 0.7).otherwise(0.0)
         return F.struct(f["place"].alias("place"), f["field"].alias("field"), score.alias("confidence"))
 
-    heads = columns.select("entity", "word").distinct()
+    heads = columns.select("entity", "column_name").distinct().withColumn("word", normalize_header(F.col("column_name")))
     options = F.filter(F.transform(F.element_at(fields, F.col("entity")), scored), lambda o: o["confidence"] > 0)
-    heads = heads.select("entity", "word", options.alias("options")).filter(F.size("options") > 0)
-    offers = salted_left_join(columns, heads, ["entity", "word"], [*where, "position"])
+    heads = heads.select("entity", "column_name", options.alias("options"))
+    offers = salted_left_join(columns, heads, ["entity", "column_name"], [*where, "position"])
     offers = offers.select(*where, "entity", "column_name", "position", F.inline("options"))
     ranks = [-F.col("confidence"), F.col("position"), F.col("place")]
     widest = max(len(f) for f in FIELD_WORDS.values())

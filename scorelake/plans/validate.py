@@ -8,6 +8,7 @@ first" refers to it.
 """
 from __future__ import annotations
 
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ from scorelake.operators.group_sums import flag_group_sum
 from scorelake.operators.references import is_empty, mark_present
 from scorelake.plans.schemas import PRIMARY_KEY, VALIDATED
 from scorelake.sources.checkpoint import materialize
+from scorelake.sources.parallel import together
 from scorelake.sources.readers import ORDINAL
 
 LOG_TYPE = "array<struct<field:string,original:string,corrected:string,reason:string>>"
@@ -276,7 +278,8 @@ def validate_all(
     """All entities in dependency order, valid keys feeding the next rules.
 
     Every labelled frame is written once, so neither the three outputs nor the
-    later entities run its joins again.
+    later entities run its joins again. Entities that do not depend on each
+    other are validated side by side.
     """
     done: dict[str, Split] = {}
 
@@ -286,16 +289,21 @@ def validate_all(
     labels = {
         "courses": lambda df, o: label_courses(df, o),
         "subjects": lambda df, o: label_subjects(df, o),
+        "attendance": lambda df, o: label_attendance(df),
         "students": lambda df, o: label_students(df, o, as_of, valid("courses")),
         "assessments": lambda df, o: label_assessments(df, o, valid("subjects")),
         "grades": lambda df, o: label_grades(df, o, as_of, valid("students"), valid("assessments"), max_scale),
-        "attendance": lambda df, o: label_attendance(df),
     }
-    for entity in VALIDATED:
-        if entity in tables:
-            labelled = labels[entity](tables[entity], order.get(entity, [ORDINAL]))
-            done[entity] = split(materialize(labelled, f"labelled-{entity}"), entity)
-    return done
+
+    def judge(entity: str) -> Split:
+        labelled = labels[entity](tables[entity], order.get(entity, [ORDINAL]))
+        return split(materialize(labelled, f"labelled-{entity}"), entity)
+
+    for wave in (["courses", "subjects", "attendance"], ["students", "assessments"], ["grades"]):
+        jobs = {e: partial(judge, e) for e in wave if e in tables}
+        if jobs:
+            done.update(together(next(iter(tables.values())).sparkSession, jobs))
+    return {e: done[e] for e in VALIDATED if e in done}
 
 
 def summary(splits: dict[str, Split]) -> DataFrame:

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+# Rows per stored file: keeps what one task wrote readable by several.
+FILE_ROWS = 250_000
 _local_roots: dict[str, str] = {}
 
 
@@ -28,5 +30,5 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     executor loss because nothing upstream is ever run again."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/scorelake/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
