@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 from scorelake.sources.checkpoint import materialize
 
 
+def _shifts(sums: DataFrame) -> DataFrame:
+    """Total of the earlier slices per slice. One row per sort task, so its size
+    is bounded by spark.sql.shuffle.partitions."""
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(F.col("_slice").alias("_shift_slice"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
+
+
 def running_total(df: DataFrame, order: list, weight: Column, out: str) -> DataFrame:
     """Adds the total of ``weight`` over the rows before this one in ``order``.
 
@@ -18,18 +25,24 @@ def running_total(df: DataFrame, order: list, weight: Column, out: str) -> DataF
     weighted = df.withColumn("_w", weight.cast("bigint"))
     ranged = materialize(weighted.orderBy(*order).withColumn("_slice", placed))
     sums = ranged.groupBy("_slice").agg(F.sum("_w").alias("_sum"))
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sums.select(F.col("_slice").alias("_shift_slice"), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
     inside = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-    # One row per sort task: bounded by spark.sql.shuffle.partitions.
-    joined = local.join(F.broadcast(shifts), F.col("_slice") == F.col("_shift_slice"))
+    joined = local.join(F.broadcast(_shifts(sums)), F.col("_slice") == F.col("_shift_slice"))
     return joined.withColumn(out, F.col("_shift") + F.col("_local")).select(*df.columns, out)
 
 
 def number_rows(df: DataFrame, order: list, out: str) -> DataFrame:
-    """Adds 1, 2, 3 ... in ``order`` over the whole frame."""
-    return running_total(df, order, F.lit(1), out).withColumn(out, F.col(out) + 1)
+    """Adds 1, 2, 3 ... in ``order`` over the whole frame.
+
+    One range sort, stored with each row's slice and its place in it; only the
+    slice sizes are shuffled after that.
+    """
+    ranged = materialize(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    placed = ranged.withColumn("_slice", F.shiftright("_id", 33).cast("int"))
+    sizes = placed.groupBy("_slice").agg(F.count(F.lit(1)).alias("_sum"))
+    nth = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    joined = placed.join(F.broadcast(_shifts(sizes)), F.col("_slice") == F.col("_shift_slice"))
+    return joined.withColumn(out, F.col("_shift") + nth + 1).select(*df.columns, out)
 
 
 def sequence_id(df: DataFrame, order: list, key: str, pattern: str = "G-%06d") -> DataFrame:

@@ -78,7 +78,8 @@ def score_tables(catalog: DataFrame) -> DataFrame:
         ]
     )
     names = catalog.groupBy(*where).agg(F.min("table_position").alias("table_position"))
-    pairs = names.select("*", normalize_header(F.col("table_name")).alias("_name"), F.explode(entities).alias("e")).select("*", "e.*")
+    named = names.withColumn("_name", normalize_header(F.col("table_name")))
+    pairs = named.select("*", F.explode(entities).alias("e")).select("*", "e.*")
     ignored = F.exists(_strings(IGNORED_TABLE_WORDS), lambda w: F.col("_name").contains(w))
     by_name = F.when(F.array_contains("words", F.col("_name")), 0.6).when(_overlaps(F.col("words"), F.col("_name")), 0.4).otherwise(0.0)
     scored = pairs.join(hits, [*where, "entity"], "left").fillna(0, ["_fields", "_sets"])
@@ -143,17 +144,15 @@ def map_columns(catalog: DataFrame, assigned: DataFrame) -> DataFrame:
             )
         ]
     )
-    word = F.col("word")
-
-    def scored(f: Column) -> Column:
-        exact = F.array_contains(f["words"], word)
-        top = (word == F.element_at(f["words"], 1)) | (word == f["field"])
-        score = F.when(exact & top, 1.0).when(exact, 0.95).when(_overlaps(f["words"], word), 0.7).otherwise(0.0)
-        return F.struct(f["place"].alias("place"), f["field"].alias("field"), score.alias("confidence"))
-
     heads = columns.select("entity", "column_name").distinct().withColumn("word", normalize_header(F.col("column_name")))
-    options = F.filter(F.transform(F.element_at(fields, F.col("entity")), scored), lambda o: o["confidence"] > 0)
-    heads = heads.select("entity", "column_name", options.alias("options"))
+    # One row per head and field: the header is normalised once, below the explode.
+    tried = heads.select("*", F.explode(F.element_at(fields, F.col("entity"))).alias("f"))
+    word, words = F.col("word"), F.col("f.words")
+    top = (word == F.element_at(words, 1)) | (word == F.col("f.field"))
+    score = F.when(F.array_contains(words, word), F.when(top, 1.0).otherwise(0.95)).when(_overlaps(words, word), 0.7)
+    option = F.struct(F.col("f.place").alias("place"), F.col("f.field").alias("field"), F.col("confidence"))
+    fitting = tried.withColumn("confidence", score).filter("confidence is not null")
+    heads = fitting.groupBy("entity", "column_name").agg(F.collect_list(option).alias("options"))
     offers = salted_left_join(columns, heads, ["entity", "column_name"], [*where, "position"])
     offers = offers.select(*where, "entity", "column_name", "position", F.inline("options"))
     ranks = [-F.col("confidence"), F.col("position"), F.col("place")]
@@ -202,11 +201,12 @@ def detect_scale(scale: DataFrame | None, grades: DataFrame | None) -> DataFrame
         low, basic = to_double(F.col("min_score").cast("string")), normalize_header(F.col("level")).contains("basic")
         stats = scale.agg(
             F.max(to_double(F.col("max_score").cast("string"))).alias("max_grade"),
-            F.min_by(low, F.when(basic, F.struct(*order))).alias("_basic"), F.median(low).alias("_median"),
+            F.min_by(low, F.when(basic, F.struct(*order))).alias("_basic"),
         )
+        middle = exact_quantiles(scale.select(low.alias("v")), "v", [0.5]).agg(F.max("quantile")).scalar()
         kind = F.when(F.col("max_grade") <= 5.5, "0-5").when(F.col("max_grade") <= 10.5, "0-10").otherwise("0-100")
         return stats.select(
-            kind.alias("scale_type"), F.lit(0.0).alias("min_grade"), "max_grade", F.coalesce("_basic", "_median").alias("passing_grade")
+            kind.alias("scale_type"), F.lit(0.0).alias("min_grade"), "max_grade", F.coalesce(F.col("_basic"), middle).alias("passing_grade")
         )
     steps = F.array(
         *[
@@ -244,13 +244,30 @@ def weight_rule_shares(assessments: DataFrame, weight: str = "weight", rules=Non
     return frames
 
 
-def detect_weight_rule(assessments: DataFrame, weight: str = "weight", rules=None) -> DataFrame:
-    """The grouping with the largest share; the earlier candidate wins a tie."""
-    shares = weight_rule_shares(assessments, weight, rules)
+def detect_weight_rule(assessments: DataFrame | None, weight: str = "weight", rules=None) -> DataFrame:
+    """The grouping with the largest share; the earlier candidate wins a tie.
+
+    The first candidate is the answer when none has a share, and "none" when
+    there is no weight to add up.
+    """
+    name, keys = (rules or WEIGHT_RULES)[0]
+    zero = F.lit(0).cast("decimal(5,4)")
+
+    def fixed(rule: str, cols: str) -> DataFrame:
+        one = SparkSession.active().range(1)
+        return one.select(F.lit(rule).alias("rule"), F.lit(cols).alias("group_cols"), zero.alias("valid_group_ratio"))
+
+    if assessments is not None and (weight not in assessments.columns or assessments.isEmpty()):
+        return fixed("none", "")
+    shares = weight_rule_shares(assessments, weight, rules) if assessments is not None else None
     if shares is None:
-        empty = assessments.limit(0).agg(F.lit("none").alias("rule"), F.lit("").alias("group_cols"))
-        return empty.withColumn("valid_group_ratio", F.lit(0).cast("decimal(5,4)"))
-    return shares.orderBy(F.col("valid_group_ratio").desc(), "place").limit(1).drop("place")
+        return fixed(name, ",".join(keys))
+    best = shares.orderBy(F.col("valid_group_ratio").desc(), "place").limit(1)
+    found = F.col("valid_group_ratio") > 0
+    return best.select(
+        F.when(found, F.col("rule")).otherwise(name).alias("rule"),
+        F.when(found, F.col("group_cols")).otherwise(",".join(keys)).alias("group_cols"), "valid_group_ratio",
+    )
 
 
 def apply_mapping(df: DataFrame, mapping: dict[str, str], entity: str) -> DataFrame:
@@ -330,7 +347,6 @@ def propose_mapping(tables: dict[str, DataFrame]) -> Proposal:
     scale = scale if scale is not None and {"level", "min_score", "max_score"} <= set(scale.columns) else None
     grades = grades if grades is not None and "score" in grades.columns else None
     work = mapped_view(tables, mapping, "assessments")
-    work = work if work is not None and "weight" in work.columns else catalog.select(F.lit("").alias("weight")).limit(0)
     taken = {table for table, _ in mapping.values()}
     ignored = [t for t in tables if t not in taken]
     return Proposal(mapping, confidence, ignored, detect_scale(scale, grades), detect_weight_rule(work), warnings, not missing)

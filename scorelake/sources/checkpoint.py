@@ -17,7 +17,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {SETTING} to a folder every executor can reach")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_roots:

@@ -68,7 +68,7 @@ def test_minimal_workbook_invents_nothing(sheet):
     p = mapping.propose_mapping(tables)
     assert p.can_process and len(p.warnings) == 2
     assert p.scale.first().asDict() == {"scale_type": "0-5", "min_grade": 0.0, "max_grade": 5.0, "passing_grade": 3.0}
-    assert p.weight_rule.first()["rule"] == "none"
+    assert tuple(p.weight_rule.first()) == ("by_subject_period", "subject_id,period_id", 0)
     raw = mapping.apply_proposal(tables, p.mapping)
     assert {e: raw[e].count() for e in ("students", "assessments", "grades", "courses")} == {"students": 2, "assessments": 2, "grades": 2, "courses": 0}
     assert raw["students"].filter("email <> '' or course_id <> ''").isEmpty()
@@ -110,6 +110,9 @@ def test_weight_rule(sheet):
     rows = [("m1", "p1", "60"), ("m1", "p1", "40"), ("m2", "p1", "1,0"), ("m3", "p2", "90"), (None, "p9", "5")]
     got = mapping.detect_weight_rule(sheet("subject_id period_id weight", rows)).first()
     assert (got["rule"], got["group_cols"], float(got["valid_group_ratio"])) == ("by_subject_period", "subject_id,period_id", 0.6667)
+    assert mapping.detect_weight_rule(sheet("subject_id", [("m",)])).first()["rule"] == "none"
+    assert mapping.detect_weight_rule(sheet("subject_id weight", [("m", "7")])).first()["rule"] == "by_subject_period"
+    assert mapping.detect_weight_rule(sheet("period_id weight", [("m", "100")])).first()["rule"] == "by_period"
 
 
 def test_ignored_tables_and_columns(spark, sheet):
