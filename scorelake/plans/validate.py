@@ -240,14 +240,15 @@ def label_attendance(df: DataFrame) -> DataFrame:
     def whole(name: str) -> Column:
         return float_or_null(F.col(name)).try_cast("bigint")
 
-    total, absences = whole("total_classes"), whole("absences")
+    counted = df.withColumns({"_total": whole("total_classes"), "_absences": whole("absences")})
+    total, absences = F.col("_total"), F.col("_absences")
     reason = first_reason(
         (is_blank(F.col("student_id")), "Null or empty student_id"),
         (total.isNull() | absences.isNull(), "Valores de asistencia no enteros"),
         (absences < 0, "inasistencias negativas"),
         (absences > total, "inasistencias > días de clase"),
     )
-    return df.withColumn("error_reason", reason).withColumn("_log", _no_log())
+    return counted.withColumn("error_reason", reason).withColumn("_log", _no_log()).drop("_total", "_absences")
 
 
 def corrections_log(labelled: DataFrame, entity: str) -> DataFrame:
