@@ -95,10 +95,12 @@ def test_group_sum(spark):
     assert {r["id"] for r in grouped.collect() if r["_bad_total"] is not None} == {3, 4, 5}
 
 
-def test_dense_ranks_match_pandas(spark):
+@pytest.mark.parametrize("kind", ["decimal(5,2)", "double"])
+def test_dense_ranks_match_pandas(spark, kind):
     rng = random.Random(3)
     data = [(i, rng.choice("xyz"), Decimal(rng.randint(0, 40)) / 10, Decimal(rng.randint(0, 9)) / 10) for i in range(300)]
     df = spark.createDataFrame(data, "id int, g string, a decimal(5,2), b decimal(5,2)")
+    df = df.withColumns({"a": F.col("a").cast(kind), "b": F.col("b").cast(kind)})
     out = ranking.dense_rank_by(df, "a", "desc", ["id"], "overall")
     out = ranking.dense_rank_by(out, "a", "desc", ["id"], "inside", ["g"])
     got = ranking.dense_rank_by_pair(out, ("a", "desc"), ("b", "asc"), ["id"], "pair").toPandas().sort_values("id")
