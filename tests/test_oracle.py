@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 from scorelake.demo.binding import TABLES
+from scorelake.demo.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,7 +22,7 @@ def rows_of(table):
     return names, sorted(map(repr, zip(*[table.column(n).to_pylist() for n in names])))
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, duck, name):
     if name == "run_layers":
         pytest.skip("long; the same run is covered in test_layers and by the driver")
