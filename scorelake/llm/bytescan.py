@@ -135,6 +135,14 @@ def totals_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return sums[first[1:]] - sums[first[:-1]]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The different values, ascending; by sorting, which beats numpy's hashing here."""
+    ranked = np.sort(values)
+    keep = np.ones(len(ranked), bool)
+    keep[1:] = ranked[1:] != ranked[:-1]
+    return ranked[keep]
+
+
 def seen_twice(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each key: does it occur more than once, and did it occur before."""
     order = np.argsort(keys, kind="stable")

@@ -70,7 +70,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
         (_, batch), = X.unpack_rows(texts)
         hashes, owners, n_words = grams(batch, order)
         found, _ = X.read_totals(totals)
-        keys = np.unique(np.concatenate([*hashes, np.zeros(1, np.uint64)]))
+        keys = B.distinct(np.concatenate([*hashes, np.zeros(1, np.uint64)]))
         everything = int(found[0])
         others = []
         for h, doc in zip(hashes, owners, strict=True):

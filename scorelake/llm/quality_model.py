@@ -83,7 +83,7 @@ def features(buf: np.ndarray, off: np.ndarray, n_chars: np.ndarray, bits: int) -
 
     # Distinct hashed words of each text, in order of (text, feature), each text of length one.
     index = (words >> B.U(64 - bits)).astype(np.int64)
-    pairs = np.unique(doc * (1 << bits) + index)
+    pairs = B.distinct(doc * (1 << bits) + index)
     of, word = pairs >> bits, pairs & ((1 << bits) - 1)
     runs = np.searchsorted(of, np.arange(docs + 1))
     value = (1 / np.sqrt(np.maximum(np.diff(runs), 1)))[of]

@@ -105,7 +105,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             (number, batch), = X.unpack_rows(texts)
             found, first = X.read_totals(totals)
             r = runs_table(batch, length)
-            keys = np.unique(np.concatenate([r["rank"], r["run"]]))
+            keys = B.distinct(np.concatenate([r["rank"], r["run"]]))
             at_rank, at_run = np.searchsorted(keys, r["rank"]), np.searchsorted(keys, r["run"])
             n_rank, n_run = found[at_rank], found[at_run]
             whole = n_run > 1
@@ -155,7 +155,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 gathered.append((start + a, pair))
         if gathered:
             start, pair = (np.concatenate(x) for x in zip(*gathered, strict=True))
-            again = found[np.searchsorted(np.unique(pair), pair)] > 1
+            again = found[np.searchsorted(B.distinct(pair), pair)] > 1
             lows.append(start[again])
             highs.append(start[again] + length)
         starts, ends = merged(np.concatenate(lows), np.concatenate(highs), batch.off)

@@ -31,8 +31,8 @@ END = 2
 SHARD_BYTES = 32 << 20
 #: Keys per part of the index, on average.
 PART_KEYS = 500_000
-#: Words whose ids a Python worker remembers.
-KNOWN_WORDS = 400_000
+#: Pieces of text whose ids a Python worker remembers, about 40 bytes each.
+KNOWN_UNITS = 3_000_000
 RECORD = np.dtype([("print", "<u4"), ("shard", "<u4"), ("last", "<u4"), ("place", "<u4")])
 
 
@@ -43,13 +43,45 @@ def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
 
 # ---- encoding ----------------------------------------------------------------------
 
-class Encoder:
-    """Ids of whole texts, a spaced word at a time.
+LETTER, DIGIT, MARK, OTHER = 1, 2, 3, 4
+KIND = np.full(256, OTHER, np.uint8)
+KIND[B.WHITE] = 0
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+KIND[0x30:0x3A] = DIGIT
+KIND[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) not in "'<"]] = MARK
+
+
+def units_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of text that the tokenizer never joins: the bytes with simple words
+    lower-cased, starts, ends, and the number of each text's first piece.
 
-    The tokenizer drops white space and never joins what white space parts, so a text's
-    ids are its words' ids in turn; each distinct word goes through the library once and
-    is then remembered, up to KNOWN_WORDS of them.
+    It parts at white space, and lower-cases. A word of plain ASCII it also parts where letters,
+    digits and marks meet; quotes, `<` (special tokens) and all that is beyond ASCII
+    leave a word whole.
     """
+    starts, ends, _ = B.spans(buf, off, B.SPACED_WORD)
+    kind = KIND[buf]
+    others = np.concatenate([[0], np.cumsum(kind == OTHER)])
+    whole = others[ends] > others[starts]
+    marks = np.zeros(len(buf) + 1, np.int8)
+    marks[starts[whole]] += 1
+    marks[ends[whole]] -= 1
+    low = np.where(np.cumsum(marks[:-1], dtype=np.int8) > 0, buf, B.LOWER[buf])
+    turn = np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)) + 1
+    if len(turn) and len(starts):
+        turn = turn[~whole[np.searchsorted(starts, turn, "right") - 1]]
+    new = np.zeros(len(buf), bool)
+    new[starts] = True
+    new[turn] = True
+    begin = np.flatnonzero(new)
+    stop = ends[np.searchsorted(starts, begin, "right") - 1]
+    stop[:-1] = np.minimum(stop[:-1], begin[1:])
+    return low, begin, stop, np.searchsorted(begin, off)
+
+
+class Encoder:
+    """Ids of whole texts. Each distinct piece (see `units_of`) goes through the library
+    once and is then remembered under its 64-bit hash, up to KNOWN_UNITS of them."""
 
     def __init__(self, path: str) -> None:
         import os
@@ -59,54 +91,58 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.code: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.code.clear()
-        self.pool = np.zeros(1 << 20, np.uint32)
-        self.begin = np.zeros(KNOWN_WORDS * 2, np.int64)
-        self.size = np.zeros(KNOWN_WORDS * 2, np.int64)
-        self.used = 0
-
-    def learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 1 << 14):
-            some = words[i : i + (1 << 14)]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((x for ids in found for x in ids), np.uint32, int(sizes.sum()))
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            at = len(self.code)
-            if at + len(some) > len(self.begin):
-                self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-            self.pool[self.used : self.used + len(flat)] = flat
-            self.begin[at : at + len(some)] = self.used + np.cumsum(sizes) - sizes
-            self.size[at : at + len(some)] = sizes
-            self.code.update(zip(some, range(at, at + len(some)), strict=True))
-            self.used += len(flat)
-
-    def __call__(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+        self.keys, self.begin, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 20, np.uint32 if self.width == 4 else np.uint16), 0
+
+    def learn(self, keys: np.ndarray, units: list[str]) -> None:
+        """Keys are ascending and new."""
+        flat: list[int] = []
+        sizes = []
+        for i in range(0, len(units), 1 << 14):
+            for e in self.tokenizer.encode_batch_fast(units[i : i + (1 << 14)], add_special_tokens=False):
+                ids = e.ids
+                flat += ids
+                sizes.append(len(ids))
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        size = np.array(sizes, np.int32)
+        at = np.searchsorted(self.keys, keys)
+        self.begin = np.insert(self.begin, at, self.used + np.cumsum(size, dtype=np.int64) - size)
+        self.size = np.insert(self.size, at, size)
+        self.keys = np.insert(self.keys, at, keys)
+        self.used += len(flat)
+
+    def __call__(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by `end`, and the number of ids of each text."""
-        parts = [t.split() if t else [] for t in texts]
-        words = [w for p in parts for w in p]
-        if len(self.code) > KNOWN_WORDS:
+        buf, off = B.text_bytes(column)
+        low, begin, stop, first = units_of(buf, off)
+        hashes = B.span_hashes(low, begin, stop)
+        keys, sample, code = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) > KNOWN_UNITS:
             self.clear()
-        self.learn([w for w in dict.fromkeys(words) if w not in self.code])
-        codes = np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
-        n_words = np.fromiter(map(len, parts), np.int64, len(parts))
-        # The end id is one more piece, of length one, after each text's words.
-        ends = np.cumsum(n_words + 1) - 1
-        sizes = np.ones(len(words) + len(texts), np.int64)
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
+        raw = low.tobytes()
+        self.learn(keys[new], [raw[a:b].decode() for a, b in zip(begin[sample[new]].tolist(), stop[sample[new]].tolist(), strict=True)])
+        at = np.searchsorted(self.keys, keys)[code]
+        # The end id is one more piece, of length one, after each text's pieces.
+        counts = np.diff(first) + 1
+        ends = np.cumsum(counts) - 1
+        sizes = np.ones(len(at) + len(off) - 1, np.int64)
         begins = np.zeros(len(sizes), np.int64)
         inner = np.ones(len(sizes), bool)
         inner[ends] = False
-        sizes[inner], begins[inner] = self.size[codes], self.begin[codes]
+        sizes[inner], begins[inner] = self.size[at], self.begin[at]
         stops = np.cumsum(sizes)
         ids = self.pool[np.repeat(begins - (stops - sizes), sizes) + np.arange(stops[-1] if len(stops) else 0)]
         ids[stops[ends] - 1] = end
-        counts = np.diff(np.concatenate([[0], stops[ends]]))
-        return ids, counts
+        return ids, np.diff(np.concatenate([[0], stops[ends]]))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -147,7 +183,7 @@ def write_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
         with fs.open_output_stream(f"{base}/{name}") as out:
             for batch in batches:
                 for part in B.slices(batch, "text"):
-                    ids, sizes = encode(part.column("text").to_pylist(), end)
+                    ids, sizes = encode(part.column("text"), end)
                     out.write(ids.astype("<u2" if encode.width == 2 else "<u4").tobytes())
                     counts.append(sizes)
                     nulls += part.column("id").null_count
