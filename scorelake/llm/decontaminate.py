@@ -19,7 +19,7 @@ from scorelake.sources.checkpoint import materialize
 
 WINDOW = 10
 #: Text bytes per segment; a longer text is a segment of its own.
-SEGMENT_BYTES = 16 << 20
+SEGMENT_BYTES = 8 << 20
 #: Unused positions between the texts of a segment: no phrase or span reaches across.
 GAP = 64
 #: Phrases that one pass searches for; more are searched in several passes.

@@ -20,9 +20,9 @@ from scorelake.llm import bytescan as B
 from scorelake.sources.checkpoint import materialize
 
 #: Text bytes per batch; a longer text is a batch of its own.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 #: Key entries that one partition adds up, about.
-PART_ENTRIES = 4_000_000
+PART_ENTRIES = 1_500_000
 BLOCKS = "batch long, part int, n int, keys binary, counts binary"
 TOTALS = "batch long, part int, n int, totals binary, first binary"
 NOTHING = np.zeros(0, np.uint64)

@@ -24,6 +24,8 @@ from scorelake.llm import exchange as X
 from scorelake.sources.checkpoint import materialize
 
 LENGTH = 200
+#: Bytes of string starts that one vectorised step handles.
+PIECE = 1 << 20
 PICK_MASK = np.uint64(0xFFFFFF)
 RUN_SALT = np.uint64(0x51AFD7ED558CCD25)
 
@@ -42,8 +44,8 @@ def runs_of(batch: X.Batch, length: int) -> Iterator[tuple[int, np.ndarray, dict
     columns: begin and end (first and last start), rank of the picked place, rank of the run."""
     half = -(-length // 2)
     buf, off = batch.buf, batch.off
-    for a in range(0, max(len(buf) - length + 1, 0), B.SLICE):
-        piece = buf[a : a + B.SLICE + length - 1]
+    for a in range(0, max(len(buf) - length + 1, 0), PIECE):
+        piece = buf[a : a + PIECE + length - 1]
         sums = B.prefix_sums(piece)
         inverse = B.powers(len(sums))[1]
         ranks = B.mix((sums[half:] - sums[:-half]) * inverse[: len(sums) - half])
@@ -147,10 +149,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found, _ = X.read_totals(totals)
         lows, highs = [begin[whole]], [end[whole] + length]
         gathered = []
-        for a in range(0, max(len(batch.buf) - length + 1, 0), B.SLICE):
-            mine = go & (begin >= a) & (begin < a + B.SLICE)
+        for a in range(0, max(len(batch.buf) - length + 1, 0), PIECE):
+            mine = go & (begin >= a) & (begin < a + PIECE)
             if mine.any():
-                sums = B.prefix_sums(batch.buf[a : a + B.SLICE + length - 1])
+                sums = B.prefix_sums(batch.buf[a : a + PIECE + length - 1])
                 start, pair = string_pairs(sums, begin[mine] - a, end[mine] - a, length)
                 gathered.append((start + a, pair))
         if gathered:

@@ -32,7 +32,7 @@ SHARD_BYTES = 32 << 20
 #: Keys per part of the index, on average.
 PART_KEYS = 500_000
 #: Pieces of text whose ids a Python worker remembers, about 40 bytes each.
-KNOWN_UNITS = 3_000_000
+KNOWN_UNITS = 2_000_000
 RECORD = np.dtype([("print", "<u4"), ("shard", "<u4"), ("last", "<u4"), ("place", "<u4")])
 
 
