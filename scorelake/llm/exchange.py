@@ -20,7 +20,7 @@ from scorelake.llm import bytescan as B
 from scorelake.sources.checkpoint import materialize
 
 #: Text bytes per batch; a longer text is a batch of its own.
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 4 << 20
 #: Key entries that one partition adds up, about.
 PART_ENTRIES = 1_500_000
 BLOCKS = "batch long, part int, n int, keys binary, counts binary"
@@ -58,6 +58,7 @@ def pack(docs: DataFrame, id_col: str, text_col: str, batch_bytes: int = BATCH_B
                     ["batch", "n", "offsets", "body", "bytes", "ids"])
                 at += part.num_rows
 
+    # One row per batch: a text moves as one compressed value, not as a row.
     stored = materialize(rows.mapInArrow(scan, f"batch long, n long, offsets binary, body binary, bytes long, ids array<{kind}>"), "batches")
     ids = stored.select("batch", F.posexplode("ids").alias("place", "id")).select((F.col("batch") + F.col("place")).alias("row"), "id")
     size = stored.agg(F.sum("bytes")).first()[0] or 0

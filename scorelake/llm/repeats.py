@@ -25,7 +25,9 @@ from scorelake.sources.checkpoint import materialize
 
 LENGTH = 200
 #: Bytes of string starts that one vectorised step handles.
-PIECE = 1 << 20
+PIECE = 1 << 19
+#: Text bytes per batch; a batch's runs and rank pairs are in memory together.
+BATCH_BYTES = 2 << 20
 PICK_MASK = np.uint64(0xFFFFFF)
 RUN_SALT = np.uint64(0x51AFD7ED558CCD25)
 
@@ -86,7 +88,7 @@ def runs_table(batch: X.Batch, length: int) -> dict[str, np.ndarray]:
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Stored (batch, n, offsets, body, bytes, starts, ends) with the byte spans that
     repeats cover, merged, in the batch's bytes; and (row, id)."""
-    stored, ids, size = X.pack(docs, id_col, text_col)
+    stored, ids, size = X.pack(docs, id_col, text_col, BATCH_BYTES)
     half = -(-length // 2)
     parts = X.parts_for(4 * size / (length - half + 2))
 
