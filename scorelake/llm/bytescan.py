@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Bytes of text that one vectorised step handles; a longer text is a slice of its own.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True

@@ -13,6 +13,7 @@ length - K on) is dealt by range and sorted, equal pairs are repeats, and unique
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,9 @@ from scorelake.sources.checkpoint import materialize
 
 LENGTH = 200
 #: Bytes of string starts that one vectorised step handles.
-PIECE = 1 << 19
+PIECE = 1 << 18
 #: Text bytes per batch; a batch's runs and rank pairs are in memory together.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 PICK_MASK = np.uint64(0xFFFFFF)
 RUN_SALT = np.uint64(0x51AFD7ED558CCD25)
 
@@ -85,9 +86,18 @@ def runs_table(batch: X.Batch, length: int) -> dict[str, np.ndarray]:
     return {c: np.concatenate([p[c] for p in parts]) if parts else np.zeros(0, np.int64 if c in ("begin", "end") else np.uint64) for c in ("begin", "end", "rank", "run")}
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """Stored (batch, n, offsets, body, bytes, starts, ends) with the byte spans that
-    repeats cover, merged, in the batch's bytes; and (row, id)."""
+def dedup_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) per input row; `kept` is the
+    text without every byte that a `length`-byte string covers which also starts
+    elsewhere in the corpus, the same text included. Matches never cross texts.
+
+    Each pass deals equal keys by range, so its partitions are even; a string that a third
+    of all rows hold costs one entry per batch of texts. Ranks are 64-bit hashes.
+
+    Null and empty texts, and texts shorter than `length`, keep all bytes. Copies remove each
+    other whole, the first one too. `kept` is bytes: a cut may split a character. Null
+    ids stay null, other columns are not read, an empty table gives an empty table.
+    """
     stored, ids, size = X.pack(docs, id_col, text_col, BATCH_BYTES)
     half = -(-length // 2)
     parts = X.parts_for(4 * size / (length - half + 2))
@@ -142,9 +152,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     asked = stored.join(runs, "batch")
 
     def settle(texts: pa.Table, totals: pa.Table) -> pa.Table:
+        """Byte spans that repeats cover, merged, and what is left of each text."""
         if texts.num_rows == 0:
-            return pa.Table.from_pylist([], SPANS)
-        (number, batch), = X.unpack_rows(texts)
+            return pa.Table.from_pylist([], RESULT)
+        (_, batch), = X.unpack_rows(texts)
         n = texts.column("n_runs")[0].as_py()
         whole, go = np.unpackbits(np.frombuffer(texts.column("marks")[0].as_py(), np.uint8), count=2 * n).astype(bool).reshape(2, n)
         begin, end = (np.frombuffer(texts.column(c)[0].as_py(), "<i8") for c in ("starts", "ends"))
@@ -163,18 +174,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             lows.append(start[again])
             highs.append(start[again] + length)
         starts, ends = merged(np.concatenate(lows), np.concatenate(highs), batch.off)
-        return pa.Table.from_pylist([dict(batch=number, starts=starts.astype("<i8").tobytes(), ends=ends.astype("<i8").tobytes(),
-                                          **{c: texts.column(c)[0].as_py() for c in ("n", "offsets", "body", "bytes")})], SPANS)
+        return digests(batch, starts, ends)
 
-    spans = asked.groupBy("batch").cogroup(pairs.groupBy("batch")).applyInArrow(
-        settle, "batch long, n long, offsets binary, body binary, bytes long, starts binary, ends binary")
-    return spans, ids
+    done = asked.groupBy("batch").cogroup(pairs.groupBy("batch")).applyInArrow(
+        settle, "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return ids.join(done, "row").selectExpr(f"id AS `{id_col}`", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 
 SCHEMA = pa.schema([("kind", pa.int32()), ("batch", pa.int64()), ("part", pa.int32()), ("n", pa.int32()), ("keys", pa.binary()),
                     ("counts", pa.binary()), ("starts", pa.binary()), ("ends", pa.binary())])
-SPANS = pa.schema([("batch", pa.int64()), ("n", pa.int64()), ("offsets", pa.binary()), ("body", pa.binary()), ("bytes", pa.int64()),
-                   ("starts", pa.binary()), ("ends", pa.binary())])
+RESULT = pa.schema([("row", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
+                    ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
 def merged(lows: np.ndarray, highs: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,41 +200,17 @@ def merged(lows: np.ndarray, highs: np.ndarray, off: np.ndarray) -> tuple[np.nda
     return lows[begin], reach[np.concatenate([begin[1:], [len(lows)]]) - 1]
 
 
-def dedup_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept) per input row; `kept` is the
-    text without every byte that a `length`-byte string covers which also starts
-    elsewhere in the corpus, the same text included. Matches never cross texts.
-
-    Each pass deals equal keys by range, so its partitions are even; a string that a third
-    of all rows hold costs one entry per batch of texts. Ranks are 64-bit hashes.
-
-    Null and empty texts, and texts shorter than `length`, keep all bytes. Copies remove each
-    other whole, the first one too. `kept` is bytes: a cut may split a character. Null
-    ids stay null, other columns are not read, an empty table gives an empty table.
-    """
-    import hashlib
-
-    spans, ids = repeated_spans(docs, id_col, text_col, length)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
-            for r in table.to_pylist():
-                batch = X.unpack(r["batch"], r["n"], r["offsets"], r["body"], r["bytes"])
-                starts, ends = (np.frombuffer(r[c], "<i8") for c in ("starts", "ends"))
-                first = np.searchsorted(starts, batch.off)
-                raw, out = memoryview(batch.buf), []
-                for i, row in enumerate(batch.rows):
-                    at, stop = int(batch.off[i]), int(batch.off[i + 1])
-                    size, kept = stop - at, []
-                    for s, e in zip(starts[first[i] : first[i + 1]].tolist(), ends[first[i] : first[i + 1]].tolist(), strict=True):
-                        kept.append(raw[at:s])
-                        at = e
-                    kept.append(raw[at:stop])
-                    text = b"".join(kept)
-                    out.append((int(row), size, size - len(text), int(first[i + 1] - first[i]), hashlib.sha256(text).hexdigest(), text))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)],
-                    ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    done = spans.mapInArrow(digest, "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return ids.join(done, "row").selectExpr(f"id AS `{id_col}`", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
+def digests(batch: X.Batch, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
+    """A RESULT row per text, without the bytes of the spans."""
+    first = np.searchsorted(starts, batch.off)
+    raw, out = memoryview(batch.buf), []
+    for i, row in enumerate(batch.rows):
+        at, stop = int(batch.off[i]), int(batch.off[i + 1])
+        size, kept = stop - at, []
+        for s, e in zip(starts[first[i] : first[i + 1]].tolist(), ends[first[i] : first[i + 1]].tolist(), strict=True):
+            kept.append(raw[at:s])
+            at = e
+        kept.append(raw[at:stop])
+        text = b"".join(kept)
+        out.append((int(row), size, size - len(text), int(first[i + 1] - first[i]), hashlib.sha256(text).hexdigest(), text))
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), RESULT, strict=True)], schema=RESULT)
