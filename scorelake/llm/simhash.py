@@ -155,7 +155,8 @@ def near_duplicates(
     repeated results. A null id gets its group's smallest id, null if none has one. Other
     columns are not read; an empty table gives an empty table.
     """
-    fps = materialize(fingerprints(docs, id_col, text_col, shingle), "simhash")
+    # Rows shrink from a text to 16 bytes: rebalanced, so that files do not shrink with them.
+    fps = materialize(fingerprints(docs, id_col, text_col, shingle).hint("rebalance", "fp"), "simhash")
     nodes = fps.groupBy("fp").agg(F.min("id").alias("label"))
     parts = connected_components(links(fps.select("fp").distinct(), max_bits, n_pivots), "a", "b")
     named = nodes.join(parts, nodes["fp"] == parts["node"], "left").select("fp", "label", F.coalesce("component", "fp").alias("component"))
