@@ -452,16 +452,17 @@ def _share(place: int, rule: str, keys: str) -> str:
 FROM (SELECT sum(weight_percentage) AS t FROM c_assessments GROUP BY {keys})"""
 
 
-ORACLES["weight_rules"] = " UNION ALL ".join([_share(0, "by_subject_period", "subject_id,period_id"), _share(1, "by_subject", "subject_id"), _share(2, "by_period", "period_id")])
-ORACLES["detect_weight_rule"] = f"""
-SELECT rule, group_cols, valid_group_ratio FROM ({_share(0, 'by_subject_period', 'subject_id,period_id')}
-UNION ALL {_share(2, 'by_subject', 'subject_id')} UNION ALL {_share(3, 'by_period', 'period_id')}) ORDER BY valid_group_ratio DESC, place LIMIT 1"""
+_SHARES = " UNION ALL ".join([
+    _share(0, "by_subject_period", "subject_id,period_id"), _share(1, "by_course_subject_period", "course_id,subject_id,period_id"),
+    _share(2, "by_subject", "subject_id"), _share(3, "by_period", "period_id")])
+ORACLES["weight_rules"] = _SHARES
+ORACLES["detect_weight_rule"] = f"SELECT rule, group_cols, valid_group_ratio FROM ({_SHARES}) ORDER BY valid_group_ratio DESC, place LIMIT 1"
 ORACLES["pack_extra"] = """
 SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN '{"c_name":"' || c_name || '"}'
   ELSE '{"c_name":"' || c_name || '","c_mktsegment":"' || c_mktsegment || '"}' END AS extra FROM customer"""
 ORACLES["apply_mapping"] = """
 SELECT CAST(c_custkey AS VARCHAR) AS student_id, '' AS document_number, c_name AS first_name, '' AS last_name, '' AS gender, '' AS birth_date,
-  '' AS email, CAST(c_nationkey AS VARCHAR) AS course_id, '' AS enrollment_date, '' AS status, '{"c_mktsegment":"' || c_mktsegment || '"}' AS extra FROM customer"""
+  '' AS email, CAST(c_nationkey AS VARCHAR) AS course_id, '' AS enrollment_date, '' AS status, '{"c_acctbal":"' || CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) || '","c_mktsegment":"' || c_mktsegment || '"}' AS extra FROM customer"""
 ORACLES["sequence_id"] = """
 SELECT printf('G-%06d', row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice)) AS grade_id,
   l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem"""
@@ -487,18 +488,47 @@ def report_sql(chain: dict[str, str], fixes: dict[str, str], gold: dict[str, str
     return f"SELECT *, coalesce({rate2('quarantined_rows', 'excel_rows')}, 0.00) AS rejection_rate_pct FROM ({' UNION ALL '.join(rows)})"
 
 
-_SMALL = {e: _CHAIN[e] for e in ("courses", "subjects", "attendance")}
-CTES["report"] = report_sql(_SMALL, {}, {"courses": "st_courses"})
+_FIXES = {
+    e: f"(SELECT count(*) FROM ({corrections('v_students', 'v_grades')}) WHERE entity = '{e}')" for e in ("students", "grades")
+}
+CTES["report"] = report_sql(_CHAIN, _FIXES, {"courses": "c_courses", "subjects": "c_subjects", "students": "c_students", "grades": "fact"})
 ORACLES["reconcile_entities"] = "SELECT * REPLACE (CAST(rejection_rate_pct AS DECIMAL(5,2)) AS rejection_rate_pct) FROM report"
 _METRICS = ["excel_rows", "valid_rows", "quarantined_rows", "normalized_rows", "gold_rows"]
-ORACLES["reconcile_status"] = f"""
-SELECT {', '.join(f'total_{m}' for m in _METRICS)}, r AS overall_rejection_rate_pct, empty AS is_empty_load, r > 20 AS exceeds_threshold,
-  CASE WHEN empty THEN 'ERROR' WHEN r > 20 THEN 'WARNING' ELSE 'SUCCESS' END AS status,
+
+
+def status_sql(scenario: str, threshold: float, grades: str = "gold_rows") -> str:
+    gold = f"CASE WHEN entity = 'grades' THEN {grades} ELSE gold_rows END"
+    return f"""
+SELECT '{scenario}' AS scenario, {', '.join(f'total_{m}' for m in _METRICS)}, r AS overall_rejection_rate_pct, empty AS is_empty_load, r > {threshold} AS exceeds_threshold,
+  CASE WHEN empty THEN 'ERROR' WHEN r > {threshold} THEN 'WARNING' ELSE 'SUCCESS' END AS status,
   CASE WHEN empty THEN 'La carga quedó vacía o no contiene calificaciones válidas cargadas en Gold.'
-    WHEN r > 20 THEN 'Advertencia: la tasa de rechazo global (' || CAST(CAST(r AS DOUBLE) AS VARCHAR) || '%) supera el umbral configurado (20.0%).'
+    WHEN r > {threshold} THEN 'Advertencia: la tasa de rechazo global (' || CAST(CAST(r AS DOUBLE) AS VARCHAR) || '%) supera el umbral configurado ({threshold}%).'
     ELSE 'Carga procesada exitosamente con una tasa de calidad del ' || CAST(CAST(100 - r AS DOUBLE) AS VARCHAR) || '%.' END AS message
 FROM (SELECT {', '.join(f'CAST(sum({m}) AS BIGINT) AS total_{m}' for m in _METRICS)}, {rate2('sum(quarantined_rows)', 'sum(excel_rows)')} AS r,
-  sum(excel_rows) = 0 OR sum(CASE WHEN entity = 'grades' THEN gold_rows ELSE 0 END) = 0 AS empty FROM report)"""
+  sum(excel_rows) = 0 OR sum(CASE WHEN entity = 'grades' THEN gold_rows ELSE 0 END) = 0 AS empty FROM (SELECT * REPLACE ({gold} AS gold_rows) FROM report))"""
+
+
+ORACLES["reconcile_status"] = " UNION ALL ".join([
+    status_sql("normal", 20.0), status_sql("strict", 1.0), status_sql("lenient", 99.0), status_sql("empty", 20.0, "0")])
+ORACLES["rejection_reasons"] = " UNION ALL ".join(
+    f"SELECT '{e}' AS entity, error_reason, count(*) AS error_count FROM l_{e} WHERE error_reason IS NOT NULL GROUP BY error_reason"
+    for e in ("courses", "students", "grades"))
+
+
+# Sources and sinks: what is read back is what was written.
+ORACLES["read_text_table"] = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_absent FROM orders"
+ORACLES["read_inferred"] = "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation"
+ORACLES["read_workbook"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ("nation", "region", "supplier"))
+ORACLES["passthrough"] = "SELECT p_partkey, p_name FROM part"
+ORACLES["reset_layers"] = "SELECT 'nation' AS table_name, CAST(0 AS BIGINT) AS row_count UNION ALL SELECT 'region', count(*) FROM region"
+ORACLES["write_splits"] = " UNION ALL ".join(
+    f"SELECT '{kind}/{e}' AS table_name, count(*) AS row_count FROM l_{e} WHERE error_reason IS {test}"
+    for kind, test in (("processed", "NULL"), ("errors", "NOT NULL")) for e in ("courses", "students"))
+ORACLES["name_fallback"] = "SELECT CAST(o_orderkey AS VARCHAR) AS assessment_id, o_orderstatus AS assessment_name, o_orderstatus AS assessment_type FROM orders"
+_PROFILED = {"orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]}
+ORACLES["profile_tables"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS unique_count, "
+    f"count(DISTINCT {c}) = count({c}) AND count({c}) > 0 AS is_unique, CAST({len(cs)} AS INTEGER) AS column_count FROM {t}" for t, cs in _PROFILED.items() for c in cs)
 
 
 def check(name: str, subject: str, violations: str) -> str:
@@ -528,7 +558,7 @@ ORACLES["check_tables"] = " UNION ALL ".join(check("not_empty", t, f"(SELECT CAS
 
 
 def _bad_groups(keys: str, t: str) -> str:
-    return f"(SELECT count(*) FROM (SELECT sum(weight_percentage) AS t FROM {t} GROUP BY {keys}) WHERE abs(t - 100) > 0.5)"
+    return f"(SELECT count(*) FROM (SELECT sum(weight_percentage) AS t FROM {t} GROUP BY {keys}) WHERE abs(t - 100) >= 0.5)"
 
 
 ORACLES["check_weights"] = " UNION ALL ".join([
@@ -583,11 +613,7 @@ SELECT count(score) AS count, round(avg(CAST(score AS DOUBLE)), 6) AS mean, roun
   CAST(min(score) AS DOUBLE) AS min, round(quantile_cont(CAST(score AS DOUBLE), 0.25), 6) AS q25, round(quantile_cont(CAST(score AS DOUBLE), 0.5), 6) AS q50,
   round(quantile_cont(CAST(score AS DOUBLE), 0.75), 6) AS q75, CAST(max(score) AS DOUBLE) AS max FROM c_grades"""
 ORACLES["run_layers"] = report_sql(
-    _CHAIN,
-    {
-        "students": f"(SELECT count(*) FROM ({corrections('v_students', 'v_grades')}) WHERE entity = 'students')",
-        "grades": f"(SELECT count(*) FROM ({corrections('v_students', 'v_grades')}) WHERE entity = 'grades')",
-    },
+    _CHAIN, _FIXES,
     {"students": "st_students", "courses": "st_courses", "subjects": "st_subjects", "grades": "st_grades"},
 ).replace("SELECT *, coalesce(", "SELECT *, CAST(coalesce(").replace(", 0.00) AS rejection", ", 0.00) AS DECIMAL(5,2)) AS rejection")
 

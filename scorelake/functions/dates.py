@@ -11,7 +11,7 @@ from scorelake.functions.text import is_blank, strip_text
 _CLOCK = r"(\s+([01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d)?"
 YEAR_FIRST = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})" + _CLOCK + "$"
 DAY_FIRST = r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})" + _CLOCK + "$"
-STRICT_ISO = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$"
+STRICT_ISO = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])\z"
 ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}"
 
 

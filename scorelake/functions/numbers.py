@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from scorelake.functions.text import strip_text
 
-# Text shapes accepted before a cast.
-DIGITS = r"^\d+$"
-DECIMAL_TEXT = r"^-?\d+([.,]\d+)?$"
+# Text shapes accepted before a cast. A `$` would also match before a last newline.
+DIGITS = r"^\d+\z"
+DECIMAL_TEXT = r"^-?\d+([.,]\d+)?\z"
 COMMA_DECIMAL = r"^-?\d+,\d+$"
 FLOAT_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 FLOAT_WORDS = r"(?i)^[+-]?(inf|infinity|nan)$"

@@ -107,9 +107,14 @@ def label_or(c: Column, label: str) -> Column:
     return F.coalesce(c, F.lit(label))
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and backticks included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def contains_any(columns: list[str], needle: str) -> Column:
     """Case-insensitive contains over the text of all the given columns."""
-    shown = F.concat_ws(" ", *[F.col(c).cast("string") for c in columns])
+    shown = F.concat_ws(" ", *[named(c).cast("string") for c in columns])
     return F.lower(shown).contains(needle.lower())
 
 
@@ -121,7 +126,7 @@ def json_or_null(c: Column) -> Column:
 
 def pack_json(columns: list[str]) -> Column:
     """The non-null columns as one JSON object of texts, '' when there is none."""
-    pairs = [x for c in columns for x in (F.lit(c), F.col(c).cast("string"))]
+    pairs = [x for c in columns for x in (F.lit(c), named(c).cast("string"))]
     if not pairs:
         return F.lit("")
     kept = F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scorelake.operators.skew import salted_left_join
+from scorelake.operators.skew import group_left_join
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -28,22 +28,22 @@ def flag_duplicates(
 ) -> DataFrame:
     """Adds a BOOLEAN: true on every copy but the first; NULL keys are equal.
 
-    Only keys met more than once come back to the rows, through a salted join;
+    Only keys met more than once come back to the rows, through a join;
     no window ever holds a whole group. With ``where``, other rows neither
     count nor get flagged.
     """
     place = F.struct(*[F.col(c) for c in order])
     seen = df if where is None else df.filter(where)
     first = _repeated_keys(seen, keys, F.min(place).alias("_first"))
-    marked = salted_left_join(df, first, keys, salt_by=order)
+    marked = group_left_join(df, first, keys)
     late = F.coalesce(place > F.col("_first"), F.lit(False))
     return marked.withColumn(out, late if where is None else late & F.coalesce(where, F.lit(False))).drop("_first")
 
 
-def all_copies(df: DataFrame, keys: list[str], salt_by: list[str]) -> DataFrame:
+def all_copies(df: DataFrame, keys: list[str]) -> DataFrame:
     """Every row whose key occurs more than once, first ones included."""
     many = _repeated_keys(df, keys).withColumn("_many", F.lit(True))
-    return salted_left_join(df, many, keys, salt_by).filter("_many").drop("_many")
+    return group_left_join(df, many, keys).filter("_many").drop("_many")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

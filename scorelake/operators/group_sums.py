@@ -4,12 +4,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.operators.skew import salted_left_join
+from scorelake.operators.skew import group_left_join
 
 
-def off_target(total: Column, target: float, tolerance: float, alternative: tuple[float, float] | None = None) -> Column:
-    """True when the total is outside every accepted band."""
-    off = F.abs(total - F.lit(target).cast("decimal(18,6)")) > F.lit(tolerance).cast("decimal(18,6)")
+def off_target(
+    total: Column, target: float, tolerance: float, alternative: tuple[float, float] | None = None, at_edge: bool = False
+) -> Column:
+    """True when the total is outside every accepted band; ``at_edge``: or on the first one's edge."""
+    gap, width = F.abs(total - F.lit(target).cast("decimal(18,6)")), F.lit(tolerance).cast("decimal(18,6)")
+    off = gap >= width if at_edge else gap > width
     if alternative:
         centre, width = alternative
         off = off & (F.abs(total - F.lit(centre).cast("decimal(18,6)")) > F.lit(width).cast("decimal(18,6)"))
@@ -25,7 +28,6 @@ def flag_group_sum(
     df: DataFrame,
     keys: list[str],
     value: Column,
-    salt_by: list[str],
     where: Column | None = None,
     target: float = 100,
     tolerance: float = 0.5,
@@ -44,4 +46,4 @@ def flag_group_sum(
             judged = judged & F.col(k).isNotNull()
     totals = df.filter(judged).groupBy(*keys).agg(F.sum(value).alias(out))
     bad = totals.filter(off_target(F.col(out), target, tolerance, alternative))
-    return salted_left_join(df, bad, keys, salt_by).withColumn(out, F.when(judged, F.col(out)))
+    return group_left_join(df, bad, keys).withColumn(out, F.when(judged, F.col(out)))

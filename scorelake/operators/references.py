@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.operators.skew import salted_left_join
+from scorelake.operators.skew import group_left_join
 
 
 def is_empty(df: DataFrame) -> Column:
@@ -12,12 +12,10 @@ def is_empty(df: DataFrame) -> Column:
     return df.limit(1).agg((F.count(F.lit(1)) == 0).alias("_empty")).scalar()
 
 
-def mark_present(
-    df: DataFrame, key: str, parent: DataFrame, parent_key: str, salt_by: list[str], out: str = "_present"
-) -> DataFrame:
+def mark_present(df: DataFrame, key: str, parent: DataFrame, parent_key: str, out: str = "_present") -> DataFrame:
     """Adds a BOOLEAN: does ``key`` occur among the parent's keys?"""
     known = parent.select(F.col(parent_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
-    marked = salted_left_join(df, known.withColumn(out, F.lit(True)), [key], salt_by)
+    marked = group_left_join(df, known.withColumn(out, F.lit(True)), [key])
     return marked.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 

@@ -6,37 +6,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Pieces each key of the row side is cut into before the shuffle.
-SALTS = 16
-
 
 def null_safe(left: list[Column], right: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
 
 
-def salted_left_join(
-    rows: DataFrame, groups: DataFrame, on: list[str], salt_by: list[str], salts: int = SALTS, broadcast: bool = False
-) -> DataFrame:
+def group_left_join(rows: DataFrame, groups: DataFrame, on: list[str], broadcast: bool = False) -> DataFrame:
     """rows LEFT JOIN groups on null-safe keys; groups has one row per key.
 
-    Each key of ``rows`` is spread over ``salts`` shuffle keys and ``groups``
-    is repeated once per salt, so a key holding a third of all rows never meets
-    in one task. Both sides then enter the join straight from a shuffle, which
-    lets AQE cut a piece further, or turn to a broadcast once it has seen how
-    small ``groups`` is. ``broadcast`` is for groups of a size bounded by type.
-
-    The salt is a hash of ``salt_by`` and the partition number: stable when a
-    lost task is run again, and different for identical copies.
+    Both sides enter the join straight from a shuffle on the plain keys. Where a key holds
+    a third of all rows, the adaptive skew join cuts the row side of its partition into
+    pieces and gives each the one row of its group; no other key pays for it. ``broadcast``
+    is for groups of a size bounded by type.
     """
     payload = [c for c in groups.columns if c not in on]
-    keys = [F.col(c).alias(f"_key_{i}") for i, c in enumerate(on)]
-    right_keys = [F.col(f"_key_{i}") for i in range(len(on))]
-    if broadcast:
-        small = groups.select(*keys, *payload)
-        out = rows.join(F.broadcast(small), null_safe([F.col(c) for c in on], right_keys), "left")
-        return out.select(*rows.columns, *payload)
-    repeated = groups.select(*keys, *payload, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_key_salt"))
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_by]), F.lit(salts)).cast("int")
-    salted = rows.withColumn("_salt", salt)
-    cond = null_safe([F.col(c) for c in on], right_keys) & (F.col("_salt") == F.col("_key_salt"))
-    return salted.join(repeated, cond, "left").select(*rows.columns, *payload)
+    small = groups.select(*[F.col(c).alias(f"_key_{i}") for i, c in enumerate(on)], *payload)
+    cond = null_safe([F.col(c) for c in on], [F.col(f"_key_{i}") for i in range(len(on))])
+    return rows.join(F.broadcast(small) if broadcast else small, cond, "left").select(*rows.columns, *payload)

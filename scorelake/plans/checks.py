@@ -48,9 +48,9 @@ def check_not_empty(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_weights(df: DataFrame, keys: list[str], weight: str, subject: str, tolerance: float = 0.5) -> DataFrame:
-    """Groups whose weights do not sum to 100."""
+    """Groups whose weights are ``tolerance`` or more away from 100."""
     sums = df.groupBy(*keys).agg(F.sum(weight).alias("total"))
-    return _one(sums.filter(off_target(F.col("total"), 100, tolerance)), "weights", subject, F.count(F.lit(1)))
+    return _one(sums.filter(off_target(F.col("total"), 100, tolerance, at_edge=True)), "weights", subject, F.count(F.lit(1)))
 
 
 def check_recompute(fact: DataFrame, final: DataFrame, tolerance: float = 0.01) -> DataFrame:

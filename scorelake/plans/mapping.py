@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from scorelake.functions.dates import canonical_date_text
 from scorelake.functions.numbers import half_up, to_double
-from scorelake.functions.text import normalize_header, pack_json, strip_text
+from scorelake.functions.text import is_blank, normalize_header, pack_json, strip_text
 from scorelake.operators.ordinals import exact_quantiles, sequence_id
-from scorelake.operators.skew import salted_left_join
+from scorelake.operators.skew import group_left_join
 from scorelake.plans.schemas import (
     ALIASES, BONUS, COLUMNS, FIELD_WORDS, IGNORED_TABLE_WORDS, MAPPING_REQUIRED, PROCESS_REQUIRED, TABLE_WORDS, WEIGHT_RULES,
 )
@@ -62,7 +62,7 @@ def score_tables(catalog: DataFrame) -> DataFrame:
     heads = catalog.select("column_name").distinct().withColumn("word", normalize_header(F.col("column_name")))
     known = heads.join(F.broadcast(_word_rows(spark)), "word")
     known = known.groupBy("column_name").agg(F.collect_set(F.struct("entity", "mark")).alias("marks"))
-    marked = salted_left_join(catalog.select(*where, "column_name"), known, ["column_name"], where)
+    marked = group_left_join(catalog.select(*where, "column_name"), known, ["column_name"])
     found = marked.filter("marks is not null").select(*where, F.inline("marks")).distinct()
     is_bonus = F.col("mark").startswith("#")
     hits = found.groupBy(*where, "entity").agg(F.count_if(~is_bonus).alias("_fields"), F.count_if(is_bonus).alias("_sets"))
@@ -92,17 +92,17 @@ def score_tables(catalog: DataFrame) -> DataFrame:
 def greedy_pairs(df: DataFrame, group: list[str], left: str, right: str, ranks: list[Column], rights: int) -> DataFrame:
     """Best-first one-to-one choice of (left, right) pairs inside each group.
 
-    ``rights`` bounds the distinct right values of a group. A right value can
-    lose at most rights - 1 lefts to the others, so only its best ``rights``
-    candidates matter; the rest go before the shuffle, and what is gathered is
-    at most rights * rights pairs per group, however wide the group was.
+    A pair that is offered more than once counts by its best offer. ``rights`` bounds the
+    distinct right values of a group. A right value can lose at most rights - 1 lefts to
+    the others, so only its best ``rights`` lefts matter; the rest go before the shuffle,
+    and what is gathered is at most rights * rights pairs per group, however wide the group was.
     """
-    w = Window.partitionBy(*group, right).orderBy(*ranks)
-    best = df.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") <= rights)
     rank = F.struct(*[r.alias(f"_r{i}") for i, r in enumerate(ranks)])
     row = F.struct(*[F.col(c) for c in df.columns if c not in group])
-    pair = F.struct(rank.alias("rank"), row.alias("row"))
-    offers = best.groupBy(*group).agg(F.array_sort(F.collect_list(pair)).alias("offers"))
+    pairs = df.groupBy(*group, left, right).agg(F.min(F.struct(rank.alias("rank"), row.alias("row"))).alias("_pair"))
+    w = Window.partitionBy(*group, right).orderBy("_pair.rank")
+    best = pairs.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") <= rights)
+    offers = best.groupBy(*group).agg(F.array_sort(F.collect_list("_pair")).alias("offers"))
     rows = F.transform("offers", lambda x: x["row"])
 
     def take(chosen: Column, x: Column) -> Column:
@@ -153,7 +153,7 @@ def map_columns(catalog: DataFrame, assigned: DataFrame) -> DataFrame:
     option = F.struct(F.col("f.place").alias("place"), F.col("f.field").alias("field"), F.col("confidence"))
     fitting = tried.withColumn("confidence", score).filter("confidence is not null")
     heads = fitting.groupBy("entity", "column_name").agg(F.collect_list(option).alias("options"))
-    offers = salted_left_join(columns, heads, ["entity", "column_name"], [*where, "position"])
+    offers = group_left_join(columns, heads, ["entity", "column_name"])
     offers = offers.select(*where, "entity", "column_name", "position", F.inline("options"))
     ranks = [-F.col("confidence"), F.col("position"), F.col("place")]
     widest = max(len(f) for f in FIELD_WORDS.values())
@@ -227,21 +227,30 @@ def detect_scale(scale: DataFrame | None, grades: DataFrame | None) -> DataFrame
 
 
 def weight_rule_shares(assessments: DataFrame, weight: str = "weight", rules=None) -> DataFrame:
-    """Per candidate grouping: the share of groups summing to 100 (or 1)."""
-    frames = None
+    """Per candidate grouping: the share of groups summing to 100 (or 1).
+
+    All candidates are grouped in one pass over the table; a group with a NULL key does
+    not count for a candidate that has the key.
+    """
+    tried = [(place, rule, keys) for place, (rule, keys) in enumerate(rules or WEIGHT_RULES) if set(keys) <= set(assessments.columns)]
+    if not tried:
+        return None
+    columns = list(dict.fromkeys(k for _, _, keys in tried for k in keys))
     value = F.coalesce(to_double(F.col(weight).cast("string")).try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
-    for place, (rule, keys) in enumerate(rules or WEIGHT_RULES):
-        if not set(keys) <= set(assessments.columns):
-            continue
-        known = assessments.dropna(subset=keys)
-        sums = known.groupBy(*keys).agg(F.sum(value).alias("total"))
-        good = F.col("total").between(99, 101) | F.col("total").between(0.99, 1.01)
-        share = sums.agg(
-            F.lit(place).alias("place"), F.lit(rule).alias("rule"), F.lit(",".join(keys)).alias("group_cols"),
-            F.coalesce(half_up(F.count_if(good), F.count(F.lit(1)), 4, "decimal(5,4)"), F.lit(0).cast("decimal(5,4)")).alias("valid_group_ratio"),
-        )
-        frames = share if frames is None else frames.unionByName(share)
-    return frames
+    sums = assessments.groupingSets([[F.col(k) for k in keys] for _, _, keys in tried], *columns).agg(F.sum(value).alias("total"), F.grouping_id().alias("_set"))
+    place = F.lit(None).cast("int")
+    for i, _, keys in tried:
+        left_out = int("".join("0" if c in keys else "1" for c in columns), 2)
+        whole = F.lit(True)
+        for k in keys:
+            whole = whole & F.col(k).isNotNull()
+        place = F.when((F.col("_set") == left_out) & whole, F.lit(i)).otherwise(place)
+    good = F.col("total").between(99, 101) | F.col("total").between(0.99, 1.01)
+    counted = sums.withColumn("place", place).filter("place IS NOT NULL").groupBy("place").agg(
+        half_up(F.count_if(good), F.count(F.lit(1)), 4, "decimal(5,4)").alias("_share"))
+    names = assessments.sparkSession.createDataFrame([(i, rule, ",".join(keys)) for i, rule, keys in tried], "place int, rule string, group_cols string")
+    return names.join(counted, "place", "left").select(
+        "place", "rule", "group_cols", F.coalesce("_share", F.lit(0).cast("decimal(5,4)")).alias("valid_group_ratio"))
 
 
 def detect_weight_rule(assessments: DataFrame | None, weight: str = "weight", rules=None) -> DataFrame:
@@ -365,7 +374,7 @@ def missing_fields(mapping: dict) -> list[str]:
 def apply_proposal(tables: dict[str, DataFrame], mapping: dict) -> dict[str, DataFrame]:
     """Canonical text tables of every entity, empty ones where nothing maps.
 
-    Grades without any id are numbered G-000001 ... in file order.
+    Grades of which none has an id are numbered G-000001 ... in file order.
     """
     gaps = missing_fields(mapping)
     if gaps:
@@ -378,7 +387,7 @@ def apply_proposal(tables: dict[str, DataFrame], mapping: dict) -> dict[str, Dat
             continue
         table, fields = mapping[entity]
         df = apply_mapping(tables[table], fields, entity)
-        if entity == "grades" and "grade_id" not in fields.values():
+        if entity == "grades" and ("grade_id" not in fields.values() or df.filter(~is_blank(F.col("grade_id"))).isEmpty()):
             order = [ORDINAL] if ORDINAL in df.columns else ["student_id", "assessment_id", "score", "submission_date", "extra"]
             df = sequence_id(df, [F.col(o) for o in order], "grade_id")
         out[entity] = df

@@ -80,8 +80,8 @@ def student_performance(final: DataFrame) -> DataFrame:
         F.min("final_grade").alias("lowest_subject_grade"),
         F.max("final_grade").alias("highest_subject_grade"),
     )
-    ranked = dense_rank_by(stats, "overall_average", "desc", ["student_id"], "academic_ranking_overall")
-    ranked = dense_rank_by(ranked, "overall_average", "desc", ["student_id"], "academic_ranking_in_course", ["course_id"])
+    ranked = dense_rank_by(stats, "overall_average", "desc", "academic_ranking_overall")
+    ranked = dense_rank_by(ranked, "overall_average", "desc", "academic_ranking_in_course", ["course_id"])
     return ranked.withColumn("performance_category", performance_band(F.col("overall_average")))
 
 
@@ -140,7 +140,7 @@ def top_bottom_students(students: DataFrame, n: int = 5) -> DataFrame:
 def subjects_highest_failure(subjects: DataFrame) -> DataFrame:
     """Subjects by failure rate, then by the lower average."""
     ranked = dense_rank_by_pair(
-        subjects, ("fail_rate_percentage", "desc"), ("average_final_grade", "asc"), ["subject_id", "course_id"], "failure_rank"
+        subjects, ("fail_rate_percentage", "desc"), ("average_final_grade", "asc"), "failure_rank"
     )
     return ranked.select(
         "subject_id", "subject_name", "course_name", "department", "enrolled_students", "failed_count",

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scorelake.functions.numbers import PASS_MARK, mean_2
-from scorelake.operators.skew import salted_left_join
+from scorelake.operators.skew import group_left_join
 
 
 def with_dimensions(df: DataFrame, courses: DataFrame, subjects: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def measure(
         mean_2(F.col("final_grade")).alias("average_final"),
     )
     if by:
-        both = salted_left_join(grades, finals, by, by, salts=1)
+        both = group_left_join(grades, finals, by)
     else:
         pair = finals.select(F.struct("students_approved", "average_final")).scalar()
         both = grades.withColumn("_f", pair).select(*grades.columns, "_f.*")
@@ -82,7 +82,7 @@ def student_vs_course(final: DataFrame) -> DataFrame:
     """Each final grade beside the mean of its course in the same subject."""
     means = final.groupBy("course_id", "subject_id").agg(mean_2(F.col("final_grade")).alias("course_average"))
     rows = final.select("student_id", "course_id", "subject_id", "period_id", "final_grade")
-    joined = salted_left_join(rows, means, ["course_id", "subject_id"], ["student_id", "period_id"])
+    joined = group_left_join(rows, means, ["course_id", "subject_id"])
     return joined.withColumn("difference", (F.col("final_grade") - F.col("course_average")).cast("decimal(6,2)"))
 
 

@@ -112,7 +112,7 @@ def label_students(
     if courses is not None:
         marked = marked.withColumn("_course", strip_text(F.col("course_id")))
         known = courses.select(strip_text(F.col("course_id")).alias("course_id"))
-        marked = mark_present(marked, "_course", known, "course_id", order)
+        marked = mark_present(marked, "_course", known, "course_id")
         unknown_course = ~is_blank(F.col("course_id")) & ~F.col("_present") & ~is_empty(known)
     birth, raw = F.col("_birth"), F.col("birth_date")
     born = ~is_blank(raw)
@@ -155,7 +155,7 @@ def label_assessments(
     if subjects is not None:
         marked = marked.withColumn("_subject", strip_text(F.col("subject_id")))
         known = subjects.select(strip_text(F.col("subject_id")).alias("subject_id"))
-        marked = mark_present(marked, "_subject", known, "subject_id", order)
+        marked = mark_present(marked, "_subject", known, "subject_id")
         unknown = ~is_blank(F.col("subject_id")) & ~F.col("_present") & ~is_empty(known)
     weight = F.col("_number")
     by_row = first_reason(
@@ -173,7 +173,7 @@ def label_assessments(
     sound = F.col("error_reason").isNull()
     by_period = not rows.filter(sound & ~is_blank(F.col("period_id"))).isEmpty()
     keys = ["subject_id", "period_id"] if by_period else ["subject_id"]
-    rows = flag_group_sum(rows, keys, F.col("_weight"), order, sound, 100, tolerance, (1.0, 0.01), null_keys)
+    rows = flag_group_sum(rows, keys, F.col("_weight"), sound, 100, tolerance, (1.0, 0.01), null_keys)
     subject = F.coalesce(F.col("subject_id"), F.lit("nan"))
     period = F.coalesce(F.col("period_id"), F.lit("nan"))
     pair = F.concat(F.lit("("), _quoted(subject), F.lit(", "), _quoted(period), F.lit(")"))
@@ -207,7 +207,7 @@ def label_grades(
         if parent is not None:
             known = parent.select(strip_text(F.col(key)).alias(key))
             rows = rows.withColumn("_key", _shown(F.col(key)))
-            rows = mark_present(rows, "_key", known, key, order, f"_has_{key}").drop("_key")
+            rows = mark_present(rows, "_key", known, key, f"_has_{key}").drop("_key")
             unknown[key] = ~F.col(f"_has_{key}") & ~is_empty(known)
     raw, day, value, parsed = F.col("score"), F.col("submission_date"), F.col("_value"), F.col("_day")
     comma, dotted, dated = text != F.col("_dotted"), F.col("_dotted"), ~is_blank(day)

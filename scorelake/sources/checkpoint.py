@@ -1,19 +1,19 @@
 """Cutting lineage by writing a frame to the shared checkpoint folder."""
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
-# Rows per stored file: keeps what one task wrote readable by several.
-FILE_ROWS = 250_000
 _local_roots: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder the session names; only a local session may get its own."""
+    """The folder the session names; only a local session without one gets its own, gone at exit."""
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
@@ -23,6 +23,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="scorelake-")
+        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
     return _local_roots[app]
 
 
@@ -31,5 +32,5 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     executor loss because nothing upstream is ever run again."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/scorelake/{name}-{uuid.uuid4().hex}"
-    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

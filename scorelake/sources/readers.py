@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scorelake.functions.text import named
+
 # Cell texts a CSV reader takes for a missing value.
 MISSING_CELLS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -47,7 +49,7 @@ def read_text_table(
         return raw.withColumn(ORDINAL, F.lit(None).cast("struct<file:string,block:bigint,row:bigint>")) if ordinal else raw
     names = columns or raw.columns
     cells = [
-        (F.when(~F.col(f"`{c}`").isin(MISSING_CELLS), F.col(f"`{c}`")) if c in raw.columns else F.lit(None).cast("string")).alias(c)
+        (F.when(~named(c).isin(MISSING_CELLS), named(c)) if c in raw.columns else F.lit(None).cast("string")).alias(c)
         for c in names
     ]
     if ordinal:

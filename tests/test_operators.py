@@ -48,35 +48,33 @@ def test_flag_duplicates_with_condition(df, rows):
 def test_all_copies_and_keys(df, rows):
     counts = pd.Series([r[1] or "" for r in rows]).value_counts()
     many = set(counts[counts > 1].index)
-    assert {r["id"] for r in duplicates.all_copies(df, ["key"], ["id"]).collect()} == {r[0] for r in rows if (r[1] or "") in many}
+    assert {r["id"] for r in duplicates.all_copies(df, ["key"]).collect()} == {r[0] for r in rows if (r[1] or "") in many}
     assert {(r["key"] or "", r["copies"]) for r in duplicates.duplicate_keys(df, ["key"]).collect()} == {(k, int(counts[k])) for k in many}
 
 
 @pytest.mark.parametrize("broadcast", [False, True])
-def test_salted_join_equals_plain_join(spark, df, broadcast):
+def test_group_join_keeps_all_rows(spark, df, broadcast):
     groups = spark.createDataFrame([("hot", 1), ("a", 2), (None, 3)], "key string, g int")
-    got = {(r["id"], r["g"]) for r in skew.salted_left_join(df, groups, ["key"], ["id"], broadcast=broadcast).collect()}
+    got = {(r["id"], r["g"]) for r in skew.group_left_join(df, groups, ["key"], broadcast=broadcast).collect()}
     look = {"hot": 1, "a": 2, None: 3}
     assert got == {(r["id"], look.get(r["key"])) for r in df.collect()}
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    hot = spark.range(1000).withColumn("key", F.lit("x"))
-    groups = spark.createDataFrame([("x", 1)], "key string, g int")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_group_join_copies_no_group(spark):
+    """Each side is shuffled once, on the plain key; nothing is repeated per salt."""
+    rows = spark.range(1000).withColumn("key", (F.col("id") % 3).cast("string"))
+    groups = rows.groupBy("key").agg(F.count("*").alias("g"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = skew.salted_left_join(hot, groups, ["key"], ["id"]).withColumn("p", F.spark_partition_id())
-        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+        plan = skew.group_left_join(rows, groups, ["key"])._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(sizes) == 1000 and max(sizes) < 600
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 2
 
 
 def test_references(spark, df):
     parent = spark.createDataFrame([("hot",), ("a",), ("a",)], "p string")
-    marked = references.mark_present(df, "key", parent, "p", ["id"])
+    marked = references.mark_present(df, "key", parent, "p")
     assert {(r["key"], r["_present"]) for r in marked.collect() if r["key"] in ("hot", "a", "b", None)} == {("hot", True), ("a", True), ("b", False), (None, False)}
     assert marked.count() == df.count()
     assert references.orphans(df, "key", parent, "p").filter("key in ('hot', 'a') or key is null").isEmpty()
@@ -89,9 +87,9 @@ def test_references(spark, df):
 def test_group_sum(spark):
     data = [(1, "a", 60), (2, "a", 40), (3, "b", 90), (4, None, 10), (5, "c", 1)]
     df = spark.createDataFrame(data, "id int, k string, w int").withColumn("w", F.col("w").cast("decimal(18,6)"))
-    skip = group_sums.flag_group_sum(df, ["k"], F.col("w"), ["id"])
+    skip = group_sums.flag_group_sum(df, ["k"], F.col("w"))
     assert {r["id"] for r in skip.collect() if r["_bad_total"] is not None} == {3}
-    grouped = group_sums.flag_group_sum(df, ["k"], F.col("w"), ["id"], alternative=None, null_keys="group")
+    grouped = group_sums.flag_group_sum(df, ["k"], F.col("w"), alternative=None, null_keys="group")
     assert {r["id"] for r in grouped.collect() if r["_bad_total"] is not None} == {3, 4, 5}
 
 
@@ -101,9 +99,9 @@ def test_dense_ranks_match_pandas(spark, kind):
     data = [(i, rng.choice("xyz"), Decimal(rng.randint(0, 40)) / 10, Decimal(rng.randint(0, 9)) / 10) for i in range(300)]
     df = spark.createDataFrame(data, "id int, g string, a decimal(5,2), b decimal(5,2)")
     df = df.withColumns({"a": F.col("a").cast(kind), "b": F.col("b").cast(kind)})
-    out = ranking.dense_rank_by(df, "a", "desc", ["id"], "overall")
-    out = ranking.dense_rank_by(out, "a", "desc", ["id"], "inside", ["g"])
-    got = ranking.dense_rank_by_pair(out, ("a", "desc"), ("b", "asc"), ["id"], "pair").toPandas().sort_values("id")
+    out = ranking.dense_rank_by(df, "a", "desc", "overall")
+    out = ranking.dense_rank_by(out, "a", "desc", "inside", ["g"])
+    got = ranking.dense_rank_by_pair(out, ("a", "desc"), ("b", "asc"), "pair").toPandas().sort_values("id")
     pdf = pd.DataFrame(data, columns=["id", "g", "a", "b"])
     assert list(got["overall"]) == list(pdf["a"].rank(method="dense", ascending=False).astype(int))
     assert list(got["inside"]) == list(pdf.groupby("g")["a"].rank(method="dense", ascending=False).astype(int))
