@@ -448,8 +448,8 @@ FROM (SELECT quantile_cont(TRY_CAST(replace(trim(score), ',', '.') AS DOUBLE), 0
 
 def _share(place: int, rule: str, keys: str) -> str:
     return f"""SELECT {place} AS place, '{rule}' AS rule, '{keys}' AS group_cols,
-  CAST(round(CAST(count(*) FILTER (t BETWEEN 99 AND 101 OR t BETWEEN 0.99 AND 1.01) * 1.0 / count(*) AS DECIMAL(18,8)), 4) AS DECIMAL(5,4)) AS valid_group_ratio
-FROM (SELECT sum(weight_percentage) AS t FROM c_assessments GROUP BY {keys})"""
+  CAST(coalesce(round(CAST(count(*) FILTER (t BETWEEN 99 AND 101 OR t BETWEEN 0.99 AND 1.01) * 1.0 / nullif(count(*), 0) AS DECIMAL(18,8)), 4), 0) AS DECIMAL(5,4)) AS valid_group_ratio
+FROM (SELECT sum(weight_percentage) AS t FROM c_assessments WHERE {' AND '.join(f'{k} IS NOT NULL' for k in keys.split(','))} GROUP BY {keys})"""
 
 
 _SHARES = " UNION ALL ".join([
