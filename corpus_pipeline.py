@@ -14,7 +14,7 @@ from scorelake.sources.checkpoint import materialize
 
 #: Up to so many row numbers (8 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-ROW = "row_"
+ROW = "__row__"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -51,8 +51,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The copies that the curriculum takes, a row each, range-sorted by training position."""
     rows = numbered(docs)
-    copies = mixing.training_copies(mixing.plan_mix(rows, carry=(ROW,)), [ROW])
-    return rows.join(copies, ROW).orderBy("position", ROW, "copy").select(*docs.columns)
+    copies = mixing.training_copies(mixing.plan_mix(rows, carry=(ROW,)), [ROW]).toDF(ROW, "__copy__", "__position__")
+    return rows.join(copies, ROW).orderBy("__position__", ROW, "__copy__").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

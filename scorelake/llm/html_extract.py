@@ -104,7 +104,9 @@ class Reader:
         _, boiler, main = self.open_[-1] if self.open_ else ("", False, False)
         own = name in BOILER_TAGS
         if attributes and not own and name not in ("html", "body"):
-            named = {w for m in NAMED.finditer(attributes) for w in PARTS.findall((m[1] or m[2] or m[3] or "").lower())}
+            # `has-sidebar` and the like say what a wrapper holds beside the article.
+            given = [t for m in NAMED.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()]
+            named = {w for t in given if not t.startswith(("has-", "no-", "with-", "without-")) for w in PARTS.findall(t)}
             own = bool(named & BOILER_WORDS) and not (name in MAIN_TAGS and named & MAIN_WORDS) or bool(HIDDEN.search(attributes))
         self.open_.append((name, boiler or own, main or name in MAIN_TAGS))
 
@@ -194,35 +196,29 @@ def predict(node: Node, x: np.ndarray) -> np.ndarray:
     return out
 
 
-LONG = "the old harbour was rebuilt after the storm and the town paid for most of it over the next ten years of slow work by the sea"
-MENU = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("home", "world news", "sport", "arts"))
-#: Labelled table: sample pages, and the texts of their main blocks; all other blocks are not.
-SAMPLES = [
-    (f"<body><nav><ul>{MENU}</ul></nav><article><h1>Harbour</h1><p>{LONG}</p><p>short end.</p></article><footer>(c) town paper</footer></body>",
-     ["Harbour", LONG, "short end."]),
-    (f"<body><header><p>{LONG} daily</p></header><main><h1>Two words</h1><p>Yes.</p><p>{LONG}</p><aside><p>{LONG} aside</p></aside><p>No.</p></main>"
-     f"<div class='sidebar'><p>{LONG} side</p></div></body>", ["Two words", "Yes.", LONG, "No."]),
-    (f"<div class='ad'>buy {LONG}</div><article><h1>Title</h1><div class='ad'>buy {LONG}</div><p>{LONG}</p><p>see <a href='/x'>the plan</a></p>"
-     f"<p><a href='/y'>all of it is a link</a></p></article><section id='comments'><p>{LONG} says a reader</p></section>",
-     ["Title", LONG, "see the plan", "all of it is a link"]),
-    (f"<article><p>{LONG}</p><div class='comments'><p>nice {LONG}</p></div></article><div><p>{LONG} beside it</p></div><form><p>{LONG} form</p></form>", [LONG]),
-    (f"<article><p>One.</p></article><div class='cookie-notice'><p>{LONG} cookies</p></div><p>loose words outside</p>", ["One."]),
-    (f"<div><ul>{MENU}</ul></div><div><h1>No article tag</h1><p>{LONG}</p><p>{LONG} again</p></div><div><a href='/a'>one</a> <a href='/b'>two</a></div><div>(c) 2020</div>",
-     ["No article tag", LONG, f"{LONG} again"]),
-    (f"<table><tr><td>{MENU}</td><td><p>{LONG}</p><p>{LONG} more</p></td></tr></table><div class='footer'><p>{LONG} foot</p></div><div><a href='/t'>terms</a></div>",
-     [LONG, f"{LONG} more"]),
-    (f"<div><a href='/'>the paper of the town</a></div><div><h1>Heading of it</h1><p>{LONG} and more</p></div><div><a href='/p'>print</a></div><div>all rights</div>",
-     ["Heading of it", f"{LONG} and more"]),
-    (f"<div><a href='/z'>{LONG}</a></div><div><a href='/w'>{LONG} two</a></div><p>{LONG} plain</p>", [f"{LONG} plain"]),
-]
+#: Sample pages, a block's label being its first word. Every kind of block comes in every
+#: length, so that length alone tells nothing where the page marks its article.
+MARKED = (
+    "<header><p>{drop}</p></header><nav><ul>{menu}</ul></nav><div class='ad'>{drop}</div><div class='cookie-notice'><p>{drop}</p></div>"
+    "<article><h1>{keep}</h1><p>{keep}</p><div class='ad'>{drop}</div><p>{keep}</p><p>{keep} <a href='/a'>{linked}</a></p><p><a href='/b'>{keep}</a></p>"
+    "<aside><p>{drop}</p></aside><form><p>{drop}</p></form><p>{keep}</p><div class='comments'><p>{drop}</p><p>{drop}</p></div></article>"
+    "<section id='comments'><p>{drop}</p></section><div><p>{drop}</p></div><form><p>{drop}</p></form><div class='sidebar'><p>{drop}</p></div><footer>{drop}</footer>")
+PLAIN = (
+    "<header><p>{drop}</p></header><div><ul>{menu}</ul></div><div><a href='/'>{drop}</a></div><div><h1>keep title</h1><p>{keep}</p><p>{keep}</p><p>keep so.</p><p>{keep}</p></div>"
+    "<div class='comments'><p>{drop}</p></div><div><a href='/p'>{drop}</a> <a href='/q'>{linked}</a></div><div class='promo'><p>{drop}</p></div><div>drop</div><footer>{drop}</footer>")
+MENU = "".join(f"<li><a href='/{w}'>drop {w}</a></li>" for w in ("home", "world", "sport", "arts"))
+LENGTHS = {MARKED: (0, 2, 10, 30, 100, 400), PLAIN: (15, 40, 120, 400)}
 
 
 def labelled() -> tuple[np.ndarray, np.ndarray]:
+    """The labelled table: features of all sample blocks, and whether they are main text."""
     x, y = [], []
-    for page, main in SAMPLES:
-        blocks = blocks_of(page)
-        x.append(features(blocks))
-        y += [float(b.text in main) for b in blocks]
+    for page, lengths in LENGTHS.items():
+        for n in lengths:
+            more = " word" * n
+            blocks = blocks_of(page.format(keep="keep" + more, drop="drop" + more, linked="linked" + more, menu=MENU))
+            x.append(features(blocks))
+            y += [float(b.text.startswith("keep")) for b in blocks]
     return np.concatenate(x), np.array(y)
 
 
