@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import string
 
+from scorelake.llm.quality_rules import LINE_LIMIT, NGRAM_LIMITS
 from scorelake.llm.queries import LISTED_HOSTS, RULES
 
 LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
@@ -94,7 +95,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_al
 word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
 gram AS (
   SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
-  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT unnest([3, 5, 6, 7, 8, 9, 10]) AS n) WHERE len(w) >= n)),
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT unnest({[3, *NGRAM_LIMITS]}) AS n) WHERE len(w) >= n)),
 found AS (SELECT *, count(*) OVER (PARTITION BY doc_id, n, g) AS times, row_number() OVER (PARTITION BY doc_id, n, g ORDER BY i) AS nth FROM gram),
 inside AS (SELECT DISTINCT doc_id, n, unnest(range(i, i + n)) AS i FROM found WHERE CASE WHEN n = 3 THEN times > 1 ELSE nth > 1 END),
 share AS (
@@ -107,9 +108,9 @@ m AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
     CAST(coalesce((SELECT words FROM share s WHERE s.doc_id = d.doc_id AND s.n = 3), 0) AS BIGINT) AS n_repeat_words,
-    coalesce(dup.chars, 0) / greatest(length(array_to_string(w, '')), 1) <= 0.2 AND NOT EXISTS (
+    coalesce(dup.chars, 0) / greatest(length(array_to_string(w, '')), 1) <= {LINE_LIMIT} AND NOT EXISTS (
       SELECT 1 FROM share s WHERE s.doc_id = d.doc_id AND s.n > 3
-        AND s.chars::DOUBLE / greatest(length(array_to_string(w, '')), 1) > [0.15, 0.14, 0.13, 0.12, 0.11, 0.10][s.n - 4]::DOUBLE) AS fine
+        AND s.chars::DOUBLE / greatest(length(array_to_string(w, '')), 1) > CASE s.n {' '.join(f'WHEN {n} THEN {x}' for n, x in NGRAM_LIMITS.items())} END::DOUBLE) AS fine
   FROM d LEFT JOIN dup ON d.doc_id = dup.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND fine AS kept
