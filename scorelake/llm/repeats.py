@@ -31,6 +31,7 @@ PIECE = 1 << 18
 BATCH_BYTES = 1 << 20
 PICK_MASK = np.uint64(0xFFFFFF)
 RUN_SALT = np.uint64(0x51AFD7ED558CCD25)
+RANK_SALT = np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -66,7 +67,8 @@ def runs_of(batch: X.Batch, length: int) -> Iterator[tuple[int, np.ndarray, dict
         begin, end = begin[keep], end[keep]
         shape = (picked[begin] - begin).astype(np.uint64) * np.uint64(B.BASE) + (end - begin).astype(np.uint64)
         whole = B.mix((sums[end + length] - sums[begin]) * inverse[begin]) ^ RUN_SALT
-        yield a, sums, {"begin": begin, "end": end, "rank": ranks[picked[begin]], "run": B.mix(whole + shape)}
+        # Picked ranks are the smallest of many: mixed anew, or they would all fall into the first range.
+        yield a, sums, {"begin": begin, "end": end, "rank": B.mix(ranks[picked[begin]] ^ RANK_SALT), "run": B.mix(whole + shape)}
 
 
 def string_pairs(sums: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -211,3 +211,17 @@ def test_pipeline_on_odd_tables(spark, request, table):
 def test_links_of_empty_and_single_tables(spark):
     assert simhash.links(spark.createDataFrame([], "fp long")).count() == 0
     assert simhash.links(spark.createDataFrame([(5,)], "fp long")).count() == 0
+
+
+def test_keys_of_repeats_spread_over_all_ranges():
+    """Half of the picked ranks are small numbers by construction; their keys must not be."""
+    import random
+
+    from scorelake.llm import exchange, repeats
+
+    text = random.Random(3).randbytes(300_000)
+    batch = exchange.Batch(np.arange(1), np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+    table = repeats.runs_table(batch, 200)
+    for keys in (table["rank"], table["run"]):
+        sizes = np.diff(exchange.cut(np.sort(keys), 10))
+        assert sizes.min() > 0.7 * sizes.mean() and sizes.max() < 1.3 * sizes.mean()
