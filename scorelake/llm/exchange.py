@@ -115,8 +115,8 @@ def cut(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def totals(lists: DataFrame, parts: int) -> DataFrame:
-    """(batch, part, n, totals, first): for each list, every key's count over all batches,
-    and whether this batch is the first one with the key."""
+    """(batch, part, n, totals, first): for each list, every key's count over all batches
+    in 64 bits, and whether this batch is the first one with the key."""
 
     def add(table: pa.Table) -> pa.Table:
         n = table.column("n").to_numpy()
@@ -130,13 +130,13 @@ def totals(lists: DataFrame, parts: int) -> DataFrame:
         fresh = np.ones(len(keys), bool)
         fresh[1:] = keys[order][1:] != keys[order][:-1]
         group = np.cumsum(fresh) - 1
-        sums = np.bincount(group, weights=counts[order]).astype(np.int64)
-        total, first = np.empty(len(keys), np.uint32), np.empty(len(keys), bool)
-        total[order] = np.minimum(sums, (1 << 32) - 1)[group]
+        sums = np.add.reduceat(counts[order], np.flatnonzero(fresh), dtype=np.int64)
+        total, first = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+        total[order] = sums[group]
         first[order] = fresh
         return pa.table({
             "batch": table.column("batch"), "part": table.column("part"), "n": table.column("n"),
-            "totals": pa.array([planes32(total[e - m : e]) for e, m in zip(ends, n, strict=True)], pa.binary()),
+            "totals": pa.array([planes(total[e - m : e]) for e, m in zip(ends, n, strict=True)], pa.binary()),
             "first": pa.array([np.packbits(first[e - m : e]).tobytes() for e, m in zip(ends, n, strict=True)], pa.binary())})
 
     return lists.repartition(parts, "part").groupBy("part").applyInArrow(add, TOTALS)
@@ -146,6 +146,6 @@ def read_totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A batch's totals and first marks, in the order of its ascending keys."""
     rows = sorted(table.select(["part", "n", "totals", "first"]).to_pylist(), key=lambda r: r["part"])
     if not rows:
-        return np.zeros(0, np.uint32), np.zeros(0, bool)
-    return (np.concatenate([unplanes32(r["totals"], r["n"]) for r in rows]),
+        return np.zeros(0, np.int64), np.zeros(0, bool)
+    return (np.concatenate([unplanes(r["totals"], r["n"]) for r in rows]).astype(np.int64),
             np.concatenate([np.unpackbits(np.frombuffer(r["first"], np.uint8), count=r["n"]).astype(bool) for r in rows]))

@@ -225,3 +225,15 @@ def test_keys_of_repeats_spread_over_all_ranges():
     for keys in (table["rank"], table["run"]):
         sizes = np.diff(exchange.cut(np.sort(keys), 10))
         assert sizes.min() > 0.7 * sizes.mean() and sizes.max() < 1.3 * sizes.mean()
+
+
+def test_totals_beyond_32_bits(spark):
+    """Counts of a large corpus: the sum of three lists is no longer a 32-bit number."""
+    from scorelake.llm import exchange
+
+    keys, most = np.array([0, 7, 1 << 63], np.uint64), (1 << 32) - 1
+    lists = [b for batch in range(3) for b in exchange.blocks(batch, keys, np.array([most, batch + 1, most]), 2)]
+    sums = exchange.totals(spark.createDataFrame([r for b in lists for r in b.to_pylist()], exchange.BLOCKS), 2)
+    for batch in range(3):
+        found, first = exchange.read_totals(sums.filter(F.col("batch") == batch).toArrow())
+        assert found.tolist() == [3 * most, 6, 3 * most] and first.tolist() == [batch == 0] * 3
