@@ -52,6 +52,14 @@ def test_pages_by_hand(spark):
     assert html_extract.extract_main_text(df.limit(0)).count() == 0
 
 
+def test_length_alone_drops_no_block():
+    """A page that marks no article: unlinked blocks of one word, and of scripts without spaces."""
+    page = ("<body><header>site</header><h1>Introduction</h1><p>日本語の文章です。</p><p>Yes.</p><div>ข้อความภาษาไทย</div><p>some more words</p>"
+            "<ul><li><a href='/x'>更多新闻</a></li></ul><div class='ad'>buy</div><p>中文段落</p></body>")
+    assert html_extract.main_text(page).split("\n") == ["Introduction", "日本語の文章です。", "Yes.", "ข้อความภาษาไทย", "some more words", "中文段落"]
+    assert [b.words for b in html_extract.blocks_of("<p>中文 and more</p><p>ไทย</p><p>über</p>")] == [4, 3, 1]
+
+
 def test_tree_learns_its_samples():
     x, y = html_extract.labelled()
     assert (html_extract.predict(html_extract.tree(), x) == (y > 0.5)).all()
