@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ ATTRIBUTES = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*"
 TOKEN = re.compile(
     rf"<!--.*?(?:--!?>|\Z)|<({RAW})\b{ATTRIBUTES}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)({ATTRIBUTES})>|<[!?][^>]*>", re.S | re.I)
 NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
+ANCHOR = re.compile(r"(?:^|\s)(?:id|name)\s*=", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 PARTS = re.compile(r"[a-z]+")
 #: Letters of scripts written without spaces (Thai to Tibetan, Burmese, Khmer, kana, Chinese), each a word of its own.
@@ -70,35 +73,53 @@ class Block:
     heading: bool
 
 
+class Open(NamedTuple):
+    """An open element; the flags hold for it or what encloses it, at any depth."""
+
+    name: str = ""
+    boiler: bool = False
+    main: bool = False
+    linked: bool = False
+    heading: bool = False
+    in_p: bool = False
+
+
+OUTSIDE = Open()
+
+
 @dataclass
 class Reader:
     """Open elements and the block being read."""
 
     blocks: list[Block] = field(default_factory=list)
-    open_: list[tuple[str, bool, bool]] = field(default_factory=list)  # name, boiler, main: of it or what encloses it
+    open_: list[Open] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     in_link: list[str] = field(default_factory=list)
 
-    def flush(self, heading: bool) -> None:
+    def inner(self) -> Open:
+        return self.open_[-1] if self.open_ else OUTSIDE
+
+    def flush(self) -> None:
         if self.parts:
             words = html.unescape("".join(self.parts)).split()
             if words:
                 linked = count_words(html.unescape(" ".join(self.in_link)).split())
-                _, boiler, main = self.open_[-1] if self.open_ else ("", False, False)
-                self.blocks.append(Block(" ".join(words), count_words(words), linked, boiler, main, heading))
+                at = self.inner()
+                self.blocks.append(Block(" ".join(words), count_words(words), linked, at.boiler, at.main, at.heading))
         self.parts, self.in_link = [], []
 
     def text(self, raw: str) -> None:
         self.parts.append(raw)
-        if any(name == "a" for name, _, _ in self.open_[-4:]):
+        if self.inner().linked:
             self.in_link.append(raw)
 
-    def heading(self) -> bool:
-        return any(len(n) == 2 and n[0] == "h" and n[1].isdigit() for n, _, _ in self.open_[-4:])
+    def unlink(self) -> None:
+        """Ends the open <a> but none of the elements inside it."""
+        self.open_ = [e._replace(name="" if e.name == "a" else e.name, linked=False) for e in self.open_]
 
     def close(self, name: str) -> None:
         for i in range(len(self.open_) - 1, -1, -1):
-            if self.open_[i][0] == name:
+            if self.open_[i].name == name:
                 del self.open_[i:]
                 return
 
@@ -106,21 +127,27 @@ class Reader:
         if name in CLOSES:
             ends, within = CLOSES[name]
             for i in range(len(self.open_) - 1, -1, -1):
-                if self.open_[i][0] in within:
+                if self.open_[i].name in within:
                     break
-                if self.open_[i][0] in ends:
+                if self.open_[i].name in ends:
                     del self.open_[i:]
                     break
         if name in VOID:
             return
-        _, boiler, main = self.open_[-1] if self.open_ else ("", False, False)
+        # Links do not nest, so a link that was never closed ends where the next one starts;
+        # a named place in the page is no link.
+        if name == "a" and self.inner().linked:
+            self.unlink()
+        link = name == "a" and not (ANCHOR.search(attributes) and not HREF.search(attributes))
+        at = self.inner()
         own = name in BOILER_TAGS
         if attributes and not own and name not in ("html", "body"):
             # `has-sidebar` and the like say what a wrapper holds beside the article.
             given = [t for m in NAMED.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()]
             named = {w for t in given if not t.startswith(("has-", "no-", "with-", "without-")) for w in PARTS.findall(t)}
             own = bool(named & BOILER_WORDS) and not (name in MAIN_TAGS and named & MAIN_WORDS) or bool(HIDDEN.search(attributes))
-        self.open_.append((name, boiler or own, main or name in MAIN_TAGS))
+        title = len(name) == 2 and name[0] == "h" and name[1].isdigit()
+        self.open_.append(Open(name, at.boiler or own, at.main or name in MAIN_TAGS, at.linked or link, at.heading or title, at.in_p or name == "p"))
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -138,8 +165,8 @@ def blocks_of(page: str) -> list[Block]:
         if name == "br":
             r.parts.append(" ")
         elif name in BLOCK:
-            r.flush(r.heading())
-            if not m[2] and any(n == "p" for n, _, _ in r.open_[-4:]):
+            r.flush()
+            if not m[2] and r.inner().in_p:
                 r.close("p")
         if m[2]:
             r.close(name)
@@ -147,7 +174,7 @@ def blocks_of(page: str) -> list[Block]:
             r.start(name, m[4])
     if at < len(page):
         r.text(page[at:])
-    r.flush(r.heading())
+    r.flush()
     return r.blocks
 
 

@@ -60,6 +60,20 @@ def test_length_alone_drops_no_block():
     assert [b.words for b in html_extract.blocks_of("<p>中文 and more</p><p>ไทย</p><p>über</p>")] == [4, 3, 1]
 
 
+def test_enclosing_elements_count_at_any_depth():
+    """A link, a heading and a paragraph six levels above the text; links that were never closed."""
+    six, end = "<span>" * 5 + "<b>", "</b>" + "</span>" * 5
+    card = "<a href='/x'><div><div><div><h3><span><b>Teaser of eight words that should not stay</b></span></h3></div></div></div></a>"
+    assert html_extract.main_text(f"<body><div>{card}</div><p>real text of the page</p></body>") == "real text of the page"
+    linked, plain = html_extract.blocks_of(f"<body><div>{card}</div><p>real text of the page</p></body>")
+    assert (linked.linked, linked.heading, plain.linked, plain.heading) == (8, True, 0, False)
+    assert html_extract.blocks_of(f"<h2>{six}deep title{end}</h2>")[0].heading
+    first, second = html_extract.blocks_of(f"<p class='ad'>{six}buy<div>text</div>")
+    assert first.boiler and not second.boiler
+    blocks = html_extract.blocks_of("<body><a name=top><p>one</p><a href='/x'><p>two</p><a href='/y'>three</a><p>four</p></body>")
+    assert [(b.text, b.linked) for b in blocks] == [("one", 0), ("two", 1), ("three", 1), ("four", 0)]
+
+
 def test_tree_learns_its_samples():
     x, y = html_extract.labelled()
     assert (html_extract.predict(html_extract.tree(), x) == (y > 0.5)).all()
