@@ -16,8 +16,6 @@ WORD_BITS = 14
 RANK = 8
 #: Most labelled rows that training reads, chosen by hash of the id; documented bound.
 TRAIN_ROWS = 12_000
-#: Most distinct word features kept of one training text, by hash; scoring uses all words.
-TRAIN_WORDS = 512
 STRUCTURE = [
     "words", "mean_word", "upper", "digits", "symbols", "other_marks", "distinct_words", "repeated_triples",
     "repeated_lines", "mean_line", "beyond_ascii", "closed_lines", "white", "n_chars", "n_chars_missing",
@@ -202,8 +200,8 @@ def train(
 ) -> Model:
     """Fits the machine on at most `rows` labelled rows, those with the smallest id hash.
 
-    Features are taken in the executors; the driver receives `rows` short feature lists
-    (at most TRAIN_WORDS words each) and runs the descent. Rows with a null label are
+    Features are taken in the executors; the driver receives `rows` feature lists (all word
+    features of a text, at most 2**bits) and runs the descent. Rows with a null label are
     left out. Without rows, or with one class, the model is a constant.
     """
     sample = (
@@ -219,18 +217,16 @@ def train(
         for batch in batches:
             for part in B.slices(batch, "text"):
                 f = features(*B.text_bytes(part.column("text")), doubles(part.column("n_chars")), bits)
-                kept = [w if len(w) <= TRAIN_WORDS else w[np.argsort(B.mix(w.astype(B.U)))[:TRAIN_WORDS]] for w in np.split(f.word, f.first[1:-1])]
-                full = np.maximum(np.diff(f.first), 1)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("h"), part.column("k"), part.column("label"), pa.array([r.tobytes() for r in f.structure], pa.binary()),
-                     pa.array([w.tobytes() for w in kept], pa.binary()), pa.array(full, pa.int64())],
-                    ["h", "k", "label", "structure", "words", "full"])
+                     pa.array([w.tobytes() for w in np.split(f.word, f.first[1:-1])], pa.binary())],
+                    ["h", "k", "label", "structure", "words"])
 
     got = sample.filter(F.col("h") <= picked).mapInArrow(
-        scan, "h long, k string, label int, structure binary, words binary, full long").orderBy("h", "k", "full", "words", "label").limit(rows).collect()
+        scan, "h long, k string, label int, structure binary, words binary").orderBy("h", "k", "words", "label").limit(rows).collect()
     words = [np.frombuffer(r["words"], np.int32) for r in got]
     counts = np.array([len(w) for w in words])
-    value = np.repeat(1 / np.sqrt(np.array([r["full"] for r in got])), counts)
+    value = np.repeat(1 / np.sqrt(np.maximum(counts, 1)), counts)
     f = Features(np.array([np.frombuffer(r["structure"], np.float32) for r in got]), np.concatenate([[0], np.cumsum(counts)]),
                  np.concatenate(words) if words else np.zeros(0, np.int32), value.astype(np.float32))
     return fit(f, np.array([r["label"] for r in got], float), bits)

@@ -116,6 +116,18 @@ def test_quality_on_held_out_rows(spark):
     assert (good[:, None] > bad[None, :]).mean() > 0.98
 
 
+def test_training_reads_every_word(spark, monkeypatch):
+    """Training features of long texts are those that scoring takes."""
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(n)) for i, n in enumerate((3, 600, 3000))]
+    want, seen = quality_model.features(*bytescan.text_bytes(pa.array(texts)), np.full(3, np.nan), quality_model.WORD_BITS), []
+    monkeypatch.setattr(quality_model, "fit", lambda f, *_: seen.append(f))
+    quality_model.train(spark.createDataFrame([(i, t, i % 2) for i, t in enumerate(texts)], "doc_id long, text string, y int"), "y")
+    runs = lambda f: sorted((f.word[a:b].tolist(), f.value[a:b].tolist()) for a, b in zip(f.first, f.first[1:]))
+    assert runs(seen[0]) == runs(want) and np.diff(want.first).max() > 2000
+
+
 def test_factorisation_identity(odd):
     """Scores in linear time equal the sum over all pairs."""
     rng = np.random.default_rng(5)
