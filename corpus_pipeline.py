@@ -1,7 +1,7 @@
 """A training corpus from raw documents, in five stages, each an operator of scorelake.llm.
 
-Each stage reads what the one before it wrote. Rows are told apart by their number in the
-stage's input files, so null and repeated ids, and repeated rows, are handled like any
+Each stage reads what the one before it wrote. Rows are told apart by a number that is
+stored with them before anything reads it, so null and repeated ids, and repeated rows, are handled like any
 other. An empty table passes through as an empty table.
 """
 from __future__ import annotations
@@ -18,7 +18,8 @@ ROW = "__row__"
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """The rows with a number each, stored: a second scan of `docs` may be split otherwise."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -35,10 +36,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that SimHash links: the first in the input files."""
+    """One document of each group that SimHash links: that of the smallest doc_id, ties and
+    null ids by row number."""
     rows = numbered(docs)
-    found = simhash.near_duplicates(rows, ROW)
-    return without(rows, found.filter(F.col(ROW) != F.col("component_id")))
+    found = materialize(simhash.near_duplicates(rows, ROW).select(ROW, "component_id"), "found")
+    # A group of several rows has a row besides the one it is named after.
+    shared = found.filter(F.col(ROW) != F.col("component_id")).select("component_id").distinct()
+    members = found.join(shared, "component_id", "left_semi")
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", ROW)
+    kept = members.join(rows.select(ROW, "doc_id"), ROW).groupBy("component_id").agg(F.min(rank)[ROW].alias(ROW))
+    return without(rows, members.join(kept.select(ROW), ROW, "left_anti"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -271,3 +271,38 @@ def test_totals_beyond_32_bits(spark):
     for batch in range(3):
         found, first = exchange.read_totals(sums.filter(F.col("batch") == batch).toArrow())
         assert found.tolist() == [3 * most, 6, 3 * most] and first.tolist() == [batch == 0] * 3
+
+
+@pytest.mark.parametrize("name", ["near_duplicates", "decontamination"])
+def test_row_numbers_outlive_another_split(spark, tmp_path, monkeypatch, name):
+    """The input files are split otherwise after the operator ran: the same rows go."""
+    from corpus_pipeline import decontaminate
+
+    stages, setting = dict(corpus_pipeline.STAGES), "spark.sql.files.maxPartitionBytes"
+    queries.table(spark, SF, "documents").repartition(6).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    want = sorted(map(repr, pairs(stages[name](spark, docs, SF))))
+    module, function = (simhash, "near_duplicates") if name == "near_duplicates" else (decontaminate, "contamination")
+    operator, before = getattr(module, function), spark.conf.get(setting)
+
+    def split(*args):
+        from scorelake.sources.checkpoint import materialize
+
+        out = materialize(operator(*args), "t")
+        spark.conf.set(setting, "20000")
+        return out
+
+    monkeypatch.setattr(module, function, split)
+    try:
+        assert sorted(map(repr, pairs(stages[name](spark, docs, SF)))) == want
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_smallest_id_of_a_group_stays(spark):
+    """Whatever the order of the rows; null ids and larger ones are removed."""
+    text = "one text of which there are several copies in the table "
+    rows = [(None, text), (9, text), (4, text), (7, "something else altogether, alone here"), (4, text)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], queries.table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars").schema)
+    for d in (docs, docs.orderBy(F.col("doc_id").desc()).coalesce(1)):
+        assert sorted(r[0] for r in pairs(corpus_pipeline.near_duplicates(spark, d, SF))) == [4, 7]
