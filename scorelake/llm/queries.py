@@ -43,7 +43,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.lm_scores(table(spark, sf_dir, "documents"))
+    return lm.lm_scores(table(spark, sf_dir, "documents"), order=3)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -306,3 +306,11 @@ def test_smallest_id_of_a_group_stays(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], queries.table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars").schema)
     for d in (docs, docs.orderBy(F.col("doc_id").desc()).coalesce(1)):
         assert sorted(r[0] for r in pairs(corpus_pipeline.near_duplicates(spark, d, SF))) == [4, 7]
+
+
+def test_query_looks_beyond_word_pairs(monkeypatch):
+    orders = []
+    monkeypatch.setattr(queries, "table", lambda *_: None)
+    monkeypatch.setattr(queries.lm, "lm_scores", lambda docs, order=2, **_: orders.append(order))
+    queries.op5_lm_score(None, SF)
+    assert orders[0] >= 3
