@@ -117,4 +117,15 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM m
 """
 
-ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX, "op4_url_filter": URLS, "op6_decontaminate": LEAKS, "op9_quality_rules": QUALITY}
+LINES = rf"""
+WITH line AS (
+  SELECT doc_id, x, i, translate(regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), {LOWER}) AS k
+  FROM (SELECT doc_id, unnest(l) AS x, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))),
+held AS (SELECT k, max(doc_id) AS owner FROM line WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+judged AS (SELECT doc_id, x, i, held.k IS NOT NULL AND doc_id <> owner AS gone FROM line LEFT JOIN held ON line.k = held.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX, "op4_url_filter": URLS, "op6_decontaminate": LEAKS, "op9_quality_rules": QUALITY, "op12_line_runs": LINES}
