@@ -128,4 +128,50 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX, "op4_url_filter": URLS, "op6_decontaminate": LEAKS, "op9_quality_rules": QUALITY, "op12_line_runs": LINES}
+TRIE = rf"""
+WITH own AS (
+  SELECT conv_id AS c, md5(coalesce(role, '')) || md5(coalesce(text, '')) AS g, CAST(coalesce(len(regexp_extract_all(text, {SPACED})), 0) AS BIGINT) AS words,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+-- crc32 bit by bit: a byte enters with the first of its eight steps.
+steps AS (
+  SELECT c, list_concat([4294967295::BIGINT], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: [ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))) AS s
+  FROM (SELECT DISTINCT c FROM own)),
+crc AS (SELECT c, xor(list_reduce(s, lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295) % 4 AS h FROM steps),
+turn AS (
+  SELECT c, pos AS d, g, words FROM crc JOIN (SELECT c AS base, pos, g, words FROM own) ON base = c - c % 20 WHERE pos <= h
+  UNION ALL
+  SELECT c, pos - h + least(h, (SELECT count(*) FROM own b WHERE b.c = own.c - own.c % 20)) AS d, g, words FROM own JOIN crc USING (c) WHERE pos > h),
+conv AS (SELECT c, coalesce(list(g ORDER BY d) FILTER (d IS NOT NULL), []) AS gs, coalesce(list(words ORDER BY d) FILTER (d IS NOT NULL), []) AS ws FROM crc LEFT JOIN turn USING (c) GROUP BY c),
+member AS (SELECT c, d, len(gs) AS n, array_to_string(gs[1:d], '') AS k, array_to_string(gs[1:d - 1], '') AS above, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS w FROM conv, unnest(range(0, len(gs) + 1)) AS r(d)),
+node AS (
+  SELECT d, k, min(c) AS conv, count(*) AS n_convs, any_value(above) AS above, any_value(w) AS w, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (n = d) AS ends
+  FROM member GROUP BY d, k),
+tree AS (
+  SELECT node.*, up.conv AS parent, (SELECT count(*) FROM node kid WHERE kid.d = node.d + 1 AND kid.above = node.k) AS n_children
+  FROM node LEFT JOIN node up ON up.d = node.d - 1 AND up.k = node.above),
+total AS (
+  SELECT a.d, a.k, count(*) FILTER (tree.n_children = 0) AS n_leaves, sum((tree.n_convs - 1) * tree.w) AS saved
+  FROM tree JOIN member a ON a.c = tree.conv AND a.d <= tree.d GROUP BY a.d, a.k)
+SELECT conv AS conv_id, tree.d AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM tree JOIN total ON total.d = tree.d AND total.k = tree.k
+"""
+
+TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+SEARCH = rf"""
+WITH word AS (SELECT doc_id, unnest(coalesce(regexp_extract_all(translate(text, {LOWER}), {TERM}), [])) AS t FROM documents),
+size AS (SELECT doc_id, count(*) AS n FROM word GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+ask AS (SELECT DISTINCT item_id, unnest(coalesce(regexp_extract_all(translate(text, {LOWER}), {TERM}), [])) AS t FROM benchmark),
+post AS (SELECT doc_id, t, count(*) AS tf FROM word WHERE t IN (SELECT t FROM ask) GROUP BY doc_id, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM post GROUP BY t), whole),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM ask JOIN weight USING (t) JOIN post USING (t) JOIN size USING (doc_id), whole GROUP BY item_id, doc_id),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM scored WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_curriculum_mix": MIX, "op4_url_filter": URLS, "op6_decontaminate": LEAKS, "op9_quality_rules": QUALITY,
+    "op11_ranked_search": SEARCH, "op12_line_runs": LINES, "op13_prefix_trie": TRIE}

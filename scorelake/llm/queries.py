@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import decontaminate, html_extract, line_runs, lm, mixing, quality_model, quality_rules, repeats, simhash, token_store, url_filter
+from scorelake.llm import decontaminate, html_extract, line_runs, lm, mixing, prefix_trie, quality_model, quality_rules, ranked_search, repeats, simhash, token_store, url_filter
 
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 #: Hosts with such a word as a name part have their URLs listed.
@@ -80,12 +80,21 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_store, op2_curriculum_mix, op3_html_text, op4_url_filter, op5_lm_score, op6_decontaminate,
-        op7_simhash, op8_repeated_bytes, op9_quality_rules, op10_quality_model, op12_line_runs)
+        op7_simhash, op8_repeated_bytes, op9_quality_rules, op10_quality_model,
+        op11_ranked_search, op12_line_runs, op13_prefix_trie)
 }
