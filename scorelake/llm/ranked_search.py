@@ -97,7 +97,7 @@ def _segment(number: int, part: pa.RecordBatch, known: np.ndarray | None, names:
     pairs, tf = np.unique(term.astype(np.int64) * size + doc, return_counts=True)
     term, doc = pairs // size, pairs % size
     cuts = np.flatnonzero(np.diff(term, prepend=-1))
-    ends = np.append(cuts[1:], len(term))
+    ends = np.append(cuts[1:], len(term))[: len(cuts)]
     by_place = lens[order]
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(len(cuts) + 1, number)), pa.array([None, *table[term[cuts]].view(np.int64).tolist()], pa.int64()),
@@ -109,7 +109,7 @@ def _segment(number: int, part: pa.RecordBatch, known: np.ndarray | None, names:
         pa.array([part.column("id").take(pa.array(order)).to_pylist()] + [None] * len(cuts), pa.list_(part.column("id").type))], names)
 
 
-def routes(postings: DataFrame, terms: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
+def routes(postings: DataFrame, terms: DataFrame, n_docs: int, n_terms: int, block_items: int) -> DataFrame:
     """(term, block, owner, w, uses): a term's weight, its owner, and the items of the block that ask for it, each with
     the most that the owners after this one can still add to a score."""
     m = F.expr(f"10 + (90 * least * {n_docs}) div {n_terms}")
@@ -121,8 +121,8 @@ def routes(postings: DataFrame, terms: DataFrame, n_docs: int, n_terms: int) ->
     weighed = weighed.select("term", F.floor(1000 * F.log((2 * F.lit(n_docs) + 2) / (2 * F.col("df") + 1))).cast("long").alias("w"), owner.alias("owner"), "best")
     later = Window.partitionBy("item").orderBy("owner").rangeBetween(1, Window.unboundedFollowing)
     asked = terms.join(weighed, "term").withColumn("rest", F.coalesce(F.sum(F.col("w") * F.col("best")).over(later), F.lit(0)))
-    block = F.floor(F.col("item") / BLOCK_ITEMS).cast("long").alias("block")
-    return asked.groupBy("term", block, "owner", "w").agg(F.collect_list(F.struct((F.col("item") % BLOCK_ITEMS).cast("int").alias("item"), "rest")).alias("uses"))
+    block = F.floor(F.col("item") / block_items).cast("long").alias("block")
+    return asked.groupBy("term", block, "owner", "w").agg(F.collect_list(F.struct((F.col("item") % block_items).cast("int").alias("item"), "rest")).alias("uses"))
 
 
 class Bundle:
@@ -181,7 +181,7 @@ class Bundle:
 
 
 def ranked_search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", k: int = 10, segment_docs: int = SEGMENT_DOCS) -> DataFrame:
+                  item_text_col: str = "text", k: int = 10, segment_docs: int = SEGMENT_DOCS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(item_id, rank, id, score): each item's k highest-scoring rows with a score above 0, equal scores by
     ascending id, null last.
 
@@ -202,19 +202,18 @@ def ranked_search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     known = np.sort(np.array([r["term"] for r in few.collect()], np.int64).view(np.uint64)) if few.count() <= MANY_TERMS else None
     stored = build_postings(docs, id_col, text_col, known, segment_docs)
     n_docs, n_terms = stored.filter("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
-    plan = materialize(routes(stored, terms, n_docs, max(n_terms, 1)), "routes")
-    found = run_pipeline(stored, plan, numbered.agg(F.max("item")).first()[0] or 0, n_docs, n_terms, k)
+    plan = materialize(routes(stored, terms, n_docs, max(n_terms, 1), block_items), "routes")
+    found = run_pipeline(stored, plan, (numbered.agg(F.max("item")).first()[0] or 0) // block_items + 1, block_items, n_docs, n_terms, k)
     rank = F.row_number().over(Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last()))
     ranked = found.withColumn("rank", rank).filter(F.col("rank") <= k)
     return ranked.join(numbered.select("item", "label"), "item").select(F.col("label").alias(item_col), "rank", F.col("id").alias(id_col), "score")
 
 
-def run_pipeline(stored: DataFrame, plan: DataFrame, last_item: int, n_docs: int, n_terms: int, k: int) -> DataFrame:
+def run_pipeline(stored: DataFrame, plan: DataFrame, blocks: int, block_items: int, n_docs: int, n_terms: int, k: int) -> DataFrame:
     """(item, id, score) of the first k of every segment, after all owners."""
     few = plan.count() <= BROADCAST_TERMS
-    lists = stored.filter("term IS NOT NULL").select("segment", "term", "docs", "tfs")
+    lists = stored.filter("term IS NOT NULL").select(F.col("segment").alias("part"), "term", "docs", "tfs")
     kind = stored.schema["ids"].dataType.elementType.simpleString()
-    blocks = last_item // BLOCK_ITEMS + 1
     empty = [F.lit(b"").alias(c) for c in ("items", "counts", "docs", "scores")]
     # The query set against all rows, in blocks: every segment starts a bundle for every block of items.
     bundles = stored.filter("term IS NULL").select(
@@ -245,14 +244,14 @@ def run_pipeline(stored: DataFrame, plan: DataFrame, last_item: int, n_docs: int
         best = list(bundle.best(k))
         places = np.concatenate([d for _, d, _ in best]) if best else np.zeros(0, np.int64)
         return pa.table({
-            "item": pa.array(np.repeat([held["block"] * BLOCK_ITEMS + i for i, _, _ in best], [len(d) for _, d, _ in best]).astype(np.int64)),
+            "item": pa.array(np.repeat([held["block"] * block_items + i for i, _, _ in best], [len(d) for _, d, _ in best]).astype(np.int64)),
             "id": left["ids"].combine_chunks().flatten().take(pa.array(places)),
             "score": pa.array(np.concatenate([s for _, _, s in best]) if best else places)})
 
     for owner in range(len(OWNER_SHARES) + 1):
         mine = plan.filter(F.col("owner") == owner).select("term", "block", "w", "uses")
-        owned = lists.join(F.broadcast(mine) if few else mine, "term").select("block", "segment", "w", "docs", "tfs", "uses")
-        meet = bundles.groupBy("block", "segment").cogroup(owned.groupBy("block", "segment"))
+        owned = lists.join(F.broadcast(mine) if few else mine, "term").select("block", "part", "w", "docs", "tfs", "uses")
+        meet = bundles.groupBy("block", "segment").cogroup(owned.groupBy("block", "part"))
         last = owner == len(OWNER_SHARES)
         bundles = meet.applyInArrow(select if last else hand_on, f"item long, id {kind}, score long" if last else state)
     return bundles

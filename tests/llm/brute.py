@@ -166,3 +166,71 @@ def lm(rows, order, backoff):
             stepped += down > 0
         out.append((doc, len(d), score, stepped))
     return out
+
+
+def search(rows, items, k):
+    """(item, rank, doc, score), every document scored for every item."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    docs = [(doc, Counter(term.findall(lower(text)))) for doc, text in rows]
+    docs = [(doc, tf, sum(tf.values())) for doc, tf in docs if tf]
+    df = Counter(t for _, tf, _ in docs for t in tf)
+    every, out = sum(n for *_, n in docs), []
+    for item, text in items:
+        scores = []
+        for doc, tf, n in docs:
+            m = 10 + (90 * n * len(docs)) // every
+            score = sum(int(1000 * log((2 * len(docs) + 2) / (2 * df[t] + 1))) * ((10**9 * tf[t]) // (1000 * tf[t] + 8 * m)) for t in set(term.findall(lower(text))) if t in tf)
+            if score:
+                scores.append((-score, doc is None, doc or 0))
+        out += [(item, i + 1, None if none else doc, -score) for i, (score, none, doc) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def lines(rows, min_chars, min_docs):
+    def key(line):
+        return lower(line.strip(" \t\n\x0b\f\r"))
+
+    held = {}
+    for doc, text in rows:
+        for k in {key(x) for x in (text or "").split("\n")}:
+            held.setdefault(k, []).append(doc)
+    out = []
+    for doc, text in rows:
+        all_lines = (text or "").split("\n")
+        kept = []
+        for line in all_lines:
+            docs = held[k := key(line)]
+            owner = max((d for d in docs if d is not None), default=None)
+            if len(k) < min_chars or len(docs) < min_docs or doc == owner:
+                kept.append(line)
+        out.append((doc, len(all_lines), len(all_lines) - len(kept), "\n".join(kept)))
+    return out
+
+
+def trie(rows, cycle=20, shared=4):
+    """Nodes of rebuilt conversations, by walking every prefix; rows (conv, turn, role, text)."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", text or ""))
+    turns = {c: [t[2:] for t in sorted(r, key=lambda t: t[:2])] for c, r in own.items()}
+    members = {}
+    for c in turns:
+        h = zlib.crc32(str(c).encode()) % shared
+        base = c - int(np.fmod(c, cycle))
+        rebuilt = turns.get(base, [])[:h] + turns[c][h:]
+        for d in range(len(rebuilt) + 1):
+            members.setdefault(tuple(rebuilt[:d]), []).append((c, len(rebuilt)))
+    kids = Counter(s[:-1] for s in members if s)
+    leaves, saved = Counter(), Counter()
+    for s, m in members.items():
+        words = len(SPACED.findall(s[-1][1])) if s else 0
+        for d in range(len(s) + 1):
+            leaves[s[:d]] += not kids[s]
+            saved[s[:d]] += (len(m) - 1) * words
+    out = []
+    for s, m in members.items():
+        ends = ",".join(str(c) for c in sorted(c for c, n in m if n == len(s)))
+        parent = min(c for c, _ in members[s[:-1]]) if s else None
+        out.append((min(c for c, _ in m), len(s), parent, len(m), kids[s], leaves[s], saved[s], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
