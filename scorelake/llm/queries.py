@@ -67,10 +67,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
 
 
-def quality_training(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents outside the held-out third; labels of one id count once."""
-    marks = labels.select(F.col("doc_id").alias("id_"), F.col("quality").alias("label_")).filter("label_ IS NOT NULL").groupBy("id_").agg(F.max("label_").alias("label_"))
-    return docs.join(marks, docs["doc_id"] == marks["id_"]).filter(~held_out())
+def quality_training(docs: DataFrame, labels: DataFrame, label: str = "label_") -> DataFrame:
+    """Labelled documents outside the held-out third, their mark in the column `label`, which `docs`
+    must not have; labels of one id count once."""
+    marks = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias(label))
+    return docs.join(marks, docs["doc_id"] == marks["doc_id"]).select(*[docs[c] for c in docs.columns], label).filter(~held_out())
 
 
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def extra(odd):
     """The same rows with columns whose names the operators use inside."""
     from pyspark.sql import functions as F
 
-    names = ["id", "row", "fp", "h", "score", "size", "batch", "part", "n", "key", "shard", "label", "text_", "segment", "term", "position", "kept"]
+    names = ["id", "row", "fp", "h", "score", "size", "batch", "part", "n", "key", "shard", "label", "text_", "segment", "term", "position", "kept", "id_", "label_", "score_", "row_key", "copy", "its", "body", "gone", "slice", "item", "rank", "w"]
     return odd.select("*", *[F.lit("clash").alias(n) for n in names])
 
 
