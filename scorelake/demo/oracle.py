@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import re
 
-from scorelake.demo.binding import AS_OF, TABLES, duckdb_ctes
+from scorelake.demo.binding import AS_OF, PROFILED_UPLOADS, TABLE_COLUMNS, TABLES, UPLOAD_BOOKS, UPLOAD_NAMES, duckdb_ctes, uploaded_columns
 from scorelake.plans.schemas import BONUS, COLUMNS, FIELD_WORDS, IGNORED_TABLE_WORDS, REQUIRED, TABLE_WORDS
 
 CTES = duckdb_ctes()
@@ -413,11 +413,13 @@ def dictionary_sql(name: str, columns: list[tuple[str, str, bool]]) -> str:
 ORACLES["data_dictionary"] = dictionary_sql("customer", [
     ("c_custkey", "bigint", True), ("c_name", "string", False), ("c_nationkey", "int", True), ("c_acctbal", "double", True), ("c_mktsegment", "string", False)])
 
-CTES["words"] = """
-SELECT source AS workbook, CAST(doc_id AS VARCHAR) AS doc, w AS column_name FROM (SELECT source, doc_id, unnest(regexp_split_to_array(lower(text), '[^a-zà-ÿ]+')) AS w FROM documents)
+CTES["word_spots"] = """
+SELECT source AS workbook, CAST(doc_id AS VARCHAR) AS doc, w AS column_name, min(i) AS position FROM (
+  SELECT source, doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM (SELECT source, doc_id, regexp_split_to_array(lower(text), '[^a-zà-ÿ]+') AS ws FROM documents))
 WHERE w <> '' GROUP BY ALL"""
 _NAMES = "['notas', 'mis_alumnos', 'Evaluación 1', 'curso', 'diccionario', 'asistencia', 'Periodo']"
-CTES["catalog"] = f"SELECT workbook, {_NAMES}[CAST(CAST(doc AS BIGINT) % 7 AS INTEGER) + 1] || ' ' || doc AS table_name, column_name FROM words"
+CTES["word_catalog"] = f"""
+SELECT workbook, {_NAMES}[CAST(CAST(doc AS BIGINT) % 7 AS INTEGER) + 1] || ' ' || doc AS table_name, CAST(doc AS BIGINT) AS table_position, column_name, position FROM word_spots"""
 
 
 def _values(rows: list[tuple]) -> str:
@@ -426,25 +428,97 @@ def _values(rows: list[tuple]) -> str:
 
 _MARKS = sorted({(e, f, w) for e, fs in FIELD_WORDS.items() for f, ws in fs.items() for w in ws}
                 | {(e, f"#{i}", w) for e, (_, _, sets) in BONUS.items() for i, ws in enumerate(sets) for w in ws})
-_ENTITIES = [(e, len(FIELD_WORDS[e]), BONUS[e][0] if e in BONUS else 0.0, (len(BONUS[e][2]) if BONUS[e][1] == "all" else 1) if e in BONUS else 99) for e in TABLE_WORDS]
+_ENTITIES = [
+    (i, e, len(FIELD_WORDS[e]), BONUS[e][0] if e in BONUS else 0.0, (len(BONUS[e][2]) if BONUS[e][1] == "all" else 1) if e in BONUS else 99)
+    for i, e in enumerate(TABLE_WORDS)]
 _HINTS = [(e, w) for e, ws in TABLE_WORDS.items() for w in ws]
-ORACLES["score_tables"] = f"""
-WITH marks(entity, mark, word) AS ({_values(_MARKS)}), ents(entity, n, bonus, need) AS ({_values(_ENTITIES)}), hints(entity, word) AS ({_values(_HINTS)}),
-heads AS (SELECT DISTINCT workbook, table_name, {header('column_name')} AS word FROM catalog),
-hits AS (SELECT workbook, table_name, entity, count(*) FILTER (NOT starts_with(mark, '#')) AS fields, count(*) FILTER (starts_with(mark, '#')) AS sets
-  FROM (SELECT DISTINCT workbook, table_name, entity, mark FROM heads JOIN marks USING (word)) GROUP BY 1, 2, 3),
-tabs AS (SELECT DISTINCT workbook, table_name, {header('table_name')} AS nm FROM catalog),
-named AS (SELECT workbook, table_name, entity, max(CASE WHEN nm = word THEN 0.6 WHEN contains(nm, word) OR contains(word, nm) THEN 0.4 ELSE 0.0 END) AS by_name
-  FROM tabs JOIN hints ON true WHERE {' AND '.join(f"NOT contains(nm, '{w}')" for w in IGNORED_TABLE_WORDS)} GROUP BY 1, 2, 3)
-SELECT * FROM (SELECT workbook, table_name, entity, least(1.0, round(CAST(by_name AS DOUBLE) + (coalesce(fields, 0)::DOUBLE / n * 0.4::DOUBLE
+_FIELDS = [(e, i, f, j, w) for e, fs in FIELD_WORDS.items() for i, (f, ws) in enumerate(fs.items()) for j, w in enumerate(ws)]
+
+
+def scores_sql(catalog: str) -> str:
+    return f"""
+SELECT * FROM (SELECT workbook, table_name, table_position, entity, entity_position, least(1.0, round(CAST(by_name AS DOUBLE) + (coalesce(fields, 0)::DOUBLE / n * 0.4::DOUBLE
   + CASE WHEN coalesce(sets, 0) >= need THEN CAST(bonus AS DOUBLE) ELSE 0 END), 2))::DOUBLE AS score
-FROM named JOIN ents USING (entity) LEFT JOIN hits USING (workbook, table_name, entity)) WHERE score > 0"""
+FROM (SELECT workbook, table_name, table_position, entity, max(CASE WHEN nm = word THEN 0.6 WHEN contains(nm, word) OR contains(word, nm) THEN 0.4 ELSE 0.0 END) AS by_name
+  FROM (SELECT DISTINCT workbook, table_name, table_position, {header('table_name')} AS nm FROM {catalog}) JOIN ({_values(_HINTS)}) hints(entity, word) ON true
+  WHERE {' AND '.join(f"NOT contains(nm, '{w}')" for w in IGNORED_TABLE_WORDS)} GROUP BY ALL)
+JOIN ({_values(_ENTITIES)}) ents(entity_position, entity, n, bonus, need) USING (entity)
+LEFT JOIN (SELECT workbook, table_name, entity, count(*) FILTER (NOT starts_with(mark, '#')) AS fields, count(*) FILTER (starts_with(mark, '#')) AS sets
+  FROM (SELECT DISTINCT workbook, table_name, entity, mark FROM (SELECT DISTINCT workbook, table_name, {header('column_name')} AS word FROM {catalog})
+    JOIN ({_values(_MARKS)}) marks(entity, mark, word) USING (word)) GROUP BY 1, 2, 3) USING (workbook, table_name, entity)) WHERE score > 0"""
+
+
+def best_pairs_sql(offers: str, group: str, a: str, b: str) -> str:
+    """Best free pair by best free pair: each step takes the first offer (by rk) whose two sides are both free."""
+    return f"""
+WITH RECURSIVE offer AS MATERIALIZED ({offers}),
+step AS (
+  SELECT {group}, [{a}] AS used_a, [{b}] AS used_b, rk FROM offer WHERE rk = 1
+  UNION ALL
+  SELECT {group}, list_append(any_value(used_a), arg_min({a}, offer.rk)), list_append(any_value(used_b), arg_min({b}, offer.rk)), min(offer.rk) AS rk
+  FROM step JOIN offer USING ({group}) WHERE offer.rk > step.rk AND NOT list_contains(used_a, {a}) AND NOT list_contains(used_b, {b}) GROUP BY {group})
+SELECT offer.* FROM offer JOIN step USING ({group}, rk)"""
+
+
+def assigned_sql(catalog: str, minimum: float) -> str:
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY workbook ORDER BY score DESC, table_position, entity_position) AS rk FROM ({scores_sql(catalog)}) WHERE score >= {minimum}"
+    return best_pairs_sql(ranked, "workbook", "table_name", "entity")
+
+
+def mapped_sql(catalog: str, assigned: str) -> str:
+    options = f"""
+SELECT workbook, table_name, entity, column_name, position, place, field, max(CASE WHEN head = word THEN CASE WHEN nth = 0 OR head = field THEN 1.0 ELSE 0.95 END
+  WHEN contains(head, word) OR contains(word, head) THEN 0.7 END)::DOUBLE AS confidence
+FROM (SELECT *, {header('column_name')} AS head FROM {catalog} JOIN (SELECT workbook, table_name, entity FROM ({assigned})) USING (workbook, table_name))
+JOIN ({_values(_FIELDS)}) words(entity, place, field, nth, word) USING (entity) GROUP BY ALL"""
+    group = "workbook, table_name, entity"
+    ranked = f"SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY confidence DESC, position, place) AS rk FROM ({options}) WHERE confidence IS NOT NULL"
+    return best_pairs_sql(ranked, group, "column_name", "field")
+
+
+def sheets_sql(catalog: str, counts: str, minimum: float) -> str:
+    assigned = assigned_sql(catalog, minimum)
+    return f"""
+SELECT c.workbook, c.table_name, c.entity, coalesce(c.score, 0) AS confidence, n AS row_count,
+  coalesce(string_agg(column_name || '=' || field, '|' ORDER BY column_name || '=' || field) FILTER (field IS NOT NULL), '') AS mapping,
+  coalesce(string_agg(column_name, '|' ORDER BY position) FILTER (field IS NULL AND c.entity IS NOT NULL), '') AS ignored
+FROM (SELECT * FROM {catalog} LEFT JOIN (SELECT workbook, table_name, entity, score FROM ({assigned})) USING (workbook, table_name)) c
+LEFT JOIN (SELECT workbook, table_name, column_name, field FROM ({mapped_sql(catalog, assigned)})) USING (workbook, table_name, column_name)
+JOIN {counts} USING (workbook, table_name) GROUP BY ALL"""
+
+
+ORACLES["score_tables"] = f"SELECT workbook, table_name, entity, score FROM ({scores_sql('word_catalog')})"
+ORACLES["assign_entities"] = f"SELECT workbook, table_name, entity, score FROM ({assigned_sql('word_catalog', 0.1)})"
+ORACLES["map_columns"] = f"SELECT workbook, table_name, entity, column_name, field, confidence FROM ({mapped_sql('word_catalog', assigned_sql('word_catalog', 0.1))})"
+
+
+def _upload_catalog(books: dict[str, list[str]], names: dict[str, str], ordered: bool) -> str:
+    rows = []
+    for book, entities in books.items():
+        placed = sorted(names[e] for e in entities) if ordered else [names[e] for e in entities]
+        rows += [(book, names[e], placed.index(names[e]), c, i) for e in entities for i, c in enumerate(uploaded_columns(e))]
+    return f"SELECT * FROM ({_values(rows)}) t(workbook, table_name, table_position, column_name, position)"
+
+
+def _upload_counts(books: dict[str, list[str]], names: dict[str, str]) -> str:
+    return "(" + " UNION ALL ".join(f"SELECT '{b}' AS workbook, '{names[e]}' AS table_name, count(*) AS n FROM raw_{e}" for b, es in books.items() for e in es) + ")"
+
+
+CTES["one_book"] = _upload_catalog({"workbook": list(UPLOAD_NAMES)}, UPLOAD_NAMES, False)
+CTES["two_books"] = _upload_catalog(UPLOAD_BOOKS, UPLOAD_NAMES, True)
+ORACLES["propose_mapping"] = sheets_sql("one_book", _upload_counts({"workbook": list(UPLOAD_NAMES)}, UPLOAD_NAMES), 0.4)
+ORACLES["propose_uploads"] = sheets_sql("two_books", _upload_counts(UPLOAD_BOOKS, UPLOAD_NAMES), 0.4)
 ORACLES["detect_scale"] = """
 SELECT CASE WHEN q <= 5.2 THEN '0-5' WHEN q <= 10.5 THEN '0-10' ELSE '0-100' END AS scale_type, CAST(0 AS DOUBLE) AS min_grade,
   CAST(CASE WHEN q <= 5.2 THEN 5 WHEN q <= 10.5 THEN 10 ELSE 100 END AS DOUBLE) AS max_grade,
   CAST(CASE WHEN q <= 5.2 THEN 3 WHEN q <= 10.5 THEN 6 ELSE 60 END AS DOUBLE) AS passing_grade
 FROM (SELECT quantile_cont(TRY_CAST(replace(trim(score), ',', '.') AS DOUBLE), 0.99) AS q FROM raw_grades)"""
 
+# Levels of the driver's parts as a scale: a level per type, its bounds from the parts' sizes.
+ORACLES["detect_scale_table"] = """
+SELECT CASE WHEN hi <= 5.5 THEN '0-5' WHEN hi <= 10.5 THEN '0-10' ELSE '0-100' END AS scale_type, CAST(0 AS DOUBLE) AS min_grade, hi AS max_grade, basic AS passing_grade
+FROM (SELECT max(CAST(p_size AS DOUBLE)) AS hi, quantile_cont(CAST(p_size AS DOUBLE) - 1, 0.5) AS basic FROM part)"""
+
 
 def _share(place: int, rule: str, keys: str) -> str:
     return f"""SELECT {place} AS place, '{rule}' AS rule, '{keys}' AS group_cols,
@@ -512,23 +586,46 @@ ORACLES["reconcile_status"] = " UNION ALL ".join([
     status_sql("normal", 20.0), status_sql("strict", 1.0), status_sql("lenient", 99.0), status_sql("empty", 20.0, "0")])
 ORACLES["rejection_reasons"] = " UNION ALL ".join(
     f"SELECT '{e}' AS entity, error_reason, count(*) AS error_count FROM l_{e} WHERE error_reason IS NOT NULL GROUP BY error_reason"
-    for e in ("courses", "students", "grades"))
+    for e in ("courses", "subjects", "students", "assessments", "grades", "attendance"))
 
 
 # Sources and sinks: what is read back is what was written.
-ORACLES["read_text_table"] = "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, CAST(NULL AS VARCHAR) AS o_absent FROM orders"
-ORACLES["read_inferred"] = "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name FROM nation"
-ORACLES["read_workbook"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ("nation", "region", "supplier"))
-ORACLES["passthrough"] = "SELECT p_partkey, p_name FROM part"
-ORACLES["reset_layers"] = "SELECT 'nation' AS table_name, CAST(0 AS BIGINT) AS row_count UNION ALL SELECT 'region', count(*) FROM region"
+ORACLES["read_text_table"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority, CAST(NULL AS VARCHAR) AS o_absent FROM orders"""
+ORACLES["read_inferred"] = "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer"
+ORACLES["read_workbook"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ("customer", "orders", "lineitem", "supplier"))
+ORACLES["passthrough"] = "SELECT * FROM part"
+ORACLES["reset_layers"] = (
+    "SELECT 'orders' AS table_name, CAST(0 AS BIGINT) AS row_count, CAST(2 AS BIGINT) AS swept UNION ALL SELECT 'lineitem', 0, 2 "
+    "UNION ALL SELECT 'customer', count(*), 0 FROM customer")
 ORACLES["write_splits"] = " UNION ALL ".join(
-    f"SELECT '{kind}/{e}' AS table_name, count(*) AS row_count FROM l_{e} WHERE error_reason IS {test}"
-    for kind, test in (("processed", "NULL"), ("errors", "NOT NULL")) for e in ("courses", "students"))
+    f"SELECT '{kind}/{e}' AS table_name, count(*) AS row_count, count(*) AS counted FROM {t}"
+    for e in ("courses", "subjects", "students", "assessments", "grades", "attendance")
+    for kind, t in (("processed", f"l_{e} WHERE error_reason IS NULL"), ("errors", f"l_{e} WHERE error_reason IS NOT NULL"),
+                    ("corrections", f"({corrections('l_students', 'l_grades')}) WHERE entity = '{e}'")))
+ORACLES["manifest"] = " UNION ALL ".join(
+    f"SELECT '{t}.parquet' AS file, '{','.join(cs)}' AS columns, count(*) AS row_count, true AS digests_agree FROM {t}" for t, cs in TABLE_COLUMNS.items())
+ORACLES["check_manifest"] = f"""
+SELECT 'manifest' AS check_name, 'files' AS subject, count(*) AS violations
+FROM (SELECT unnest({[*TABLES, "missing"]}) EXCEPT SELECT table_name FROM ({' UNION ALL '.join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in TABLES)}))"""
 ORACLES["name_fallback"] = "SELECT CAST(o_orderkey AS VARCHAR) AS assessment_id, o_orderstatus AS assessment_name, o_orderstatus AS assessment_type FROM orders"
-_PROFILED = {"orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]}
-ORACLES["profile_tables"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count, count(DISTINCT {c}) AS unique_count, "
-    f"count(DISTINCT {c}) = count({c}) AND count({c}) > 0 AS is_unique, CAST({len(cs)} AS INTEGER) AS column_count FROM {t}" for t, cs in _PROFILED.items() for c in cs)
+
+
+def _counted(tables: dict[str, list[str]], workbook: str = "") -> str:
+    """Cells of all columns: an empty text and a missing cell are nulls alike."""
+    def one(t: str, c: str, width: int) -> str:
+        v = f"nullif(trim(CAST({c} AS VARCHAR), ' ' || chr(9) || chr(10) || chr(13)), '')"
+        shown = f"CASE WHEN {v} IS NOT NULL THEN CAST({c} AS VARCHAR) END"
+        return (
+            f"SELECT {workbook}'{t}' AS table_name, '{c}' AS column_name, count(*) AS total_rows, count(*) - count({v}) AS null_count, "
+            f"count(DISTINCT {shown}) AS unique_count, count(DISTINCT {shown}) = count({v}) AND count({v}) > 0 AS is_unique, CAST({width} AS INTEGER) AS column_count FROM {t}")
+
+    return " UNION ALL ".join(one(t, c, len(cs)) for t, cs in tables.items() for c in cs)
+
+
+ORACLES["profile_tables"] = _counted(TABLE_COLUMNS)
+ORACLES["profile_uploads"] = _counted({t: TABLE_COLUMNS[t] for t in PROFILED_UPLOADS})
 
 
 def check(name: str, subject: str, violations: str) -> str:

@@ -17,7 +17,7 @@ from scorelake.operators.group_sums import group_totals
 from scorelake.plans import checks, mapping, marts, measures, profile, reconcile, stage, star, validate
 from scorelake.plans.layers import run_layers as run
 from scorelake.plans.schemas import COLUMNS, REQUIRED, VALIDATED
-from scorelake.sources import readers, writers
+from scorelake.sources import readers, uploads, versions, writers
 from scorelake.sources.checkpoint import checkpoint_root, materialize
 from scorelake.sources.parallel import together
 
@@ -412,7 +412,11 @@ def row_audit(spark, d):
 
 @query
 def manifest(spark, d):
-    return writers.file_manifest(spark, [f"{d}/{t}.parquet" for t in binding.TABLES])
+    """Every file with its columns and rows; its streamed digest against the digest of the whole content."""
+    paths = [f"{d}/{t}.parquet" for t in binding.TABLES]
+    whole = spark.read.format("binaryFile").load(paths).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("again"))
+    listed = writers.file_manifest(spark, paths).join(whole, "file")
+    return listed.select("file", "columns", "row_count", (F.col("sha256") == F.col("again")).alias("digests_agree"))
 
 
 @query
@@ -487,6 +491,52 @@ def map_columns(spark, d):
     return mapping.map_columns(catalog, assigned)
 
 
+def _sheet_rows(df: DataFrame) -> DataFrame:
+    pairs = F.transform(F.map_entries("column_mapping"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return df.select(
+        "workbook", "table_name", "entity", "confidence", "row_count", F.array_join(F.array_sort(pairs), "|").alias("mapping"),
+        F.array_join("ignored_columns", "|").alias("ignored"))
+
+
+@query
+def propose_mapping(spark, d):
+    """The raw entities under Spanish names: entity, rows, mapping and ignored columns of every sheet."""
+    tables = binding.uploads(spark, d)
+    catalog = mapping.build_catalog(spark, {"workbook": tables})
+    profiled = materialize(profile.profile_cells(profile.cells_of(tables), catalog), "profile")
+    return _sheet_rows(mapping.sheets(catalog, profiled))
+
+
+def _as_text_files(tables: dict[str, DataFrame], folder: str) -> None:
+    for name, df in tables.items():
+        df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}.csv")
+
+
+@query
+def propose_uploads(spark, d):
+    """The same sheets as text files of two workbooks, read in one scan."""
+    folder, tables = _folder(spark), binding.uploads(spark, d)
+    for book, entities in binding.UPLOAD_BOOKS.items():
+        _as_text_files({binding.UPLOAD_NAMES[e]: tables[binding.UPLOAD_NAMES[e]] for e in entities}, f"{folder}/{book}")
+    return _sheet_rows(mapping.propose_uploads(spark, folder)[0])
+
+
+@query
+def profile_uploads(spark, d):
+    """Tables of eight different headers as text files, profiled from one scan."""
+    folder = _folder(spark)
+    _as_text_files({t: table(spark, d, t) for t in binding.PROFILED_UPLOADS}, folder)
+    sent = uploads.read_uploads(spark, folder)
+    return profile.profile_cells(sent.cells, sent.catalog).select(*_PROFILE)
+
+
+@query
+def detect_scale_table(spark, d):
+    """The scale read from a table of levels, with a pass mark from their lower bounds."""
+    levels = table(spark, d, "part").select(F.col("p_type").alias("level"), (F.col("p_size") - 1).alias("min_score"), F.col("p_size").alias("max_score"))
+    return mapping.detect_scale(levels, None)
+
+
 @query
 def detect_scale(spark, d):
     return mapping.detect_scale(None, raw(spark, d, "grades")["grades"])
@@ -562,14 +612,17 @@ def reconcile_status(spark, d):
 
 @query
 def rejection_reasons(spark, d):
-    labelled = {e: _labelled(spark, d, e).filter("error_reason IS NOT NULL") for e in ("courses", "students", "grades")}
+    labelled = {e: _labelled(spark, d, e).filter("error_reason IS NOT NULL") for e in VALIDATED}
     return reconcile.reason_counts(labelled)
 
 
+_PROFILE = ["table_name", "column_name", "total_rows", "null_count", "unique_count", "is_unique", "column_count"]
+
+
 @query
 def profile_tables(spark, d):
-    tables = {"orders": table(spark, d, "orders"), "supplier": table(spark, d, "supplier")}
-    return profile.profile_tables(tables).select("table_name", "column_name", "total_rows", "null_count", "unique_count", "is_unique", "column_count")
+    """Every table, all columns, through one shuffle of cells."""
+    return profile.profile_tables({t: table(spark, d, t) for t in binding.TABLES}).select(*_PROFILE)
 
 
 def _folder(spark) -> str:
@@ -580,50 +633,57 @@ def _folder(spark) -> str:
 def read_text_table(spark, d):
     """Orders written as CSV and read back, one column more than there is."""
     path = _folder(spark)
-    table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").write.option("header", True).csv(path)
-    return readers.read_text_table(spark, path, ["o_orderkey", "o_orderstatus", "o_totalprice", "o_absent"])
+    orders = table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    orders.write.option("header", True).csv(path)
+    return readers.read_text_table(spark, path, [*orders.columns, "o_absent"])
 
 
 @query
 def read_inferred(spark, d):
     path = _folder(spark)
-    table(spark, d, "nation").select("n_nationkey", "n_name").write.option("header", True).csv(path)
-    return readers.read_inferred(spark, path).select(F.col("n_nationkey").cast("bigint"), "n_name")
+    table(spark, d, "customer").write.option("header", True).csv(path)
+    whole = [F.col(c).cast("bigint") for c in ("c_custkey", "c_nationkey")]
+    return readers.read_inferred(spark, path).withColumns(dict(zip(("c_custkey", "c_nationkey"), whole, strict=True)))
 
 
 @query
 def read_workbook(spark, d):
-    """Three tables of a folder, by their names and number of rows."""
+    """Four tables of a folder, by their names and number of rows."""
     path = _folder(spark)
-    for name in ("nation", "region"):
-        table(spark, d, name).write.option("header", True).csv(f"{path}/{name}.csv")
+    _as_text_files({name: table(spark, d, name) for name in ("customer", "orders", "lineitem")}, path)
     table(spark, d, "supplier").write.parquet(f"{path}/supplier.parquet")
     return writers.row_audit(readers.read_workbook(spark, path))
 
 
 @query
 def passthrough(spark, d):
-    path = _folder(spark)
-    writers.passthrough(table(spark, d, "part").select("p_partkey", "p_name"), "teachers", path)
-    return spark.read.parquet(f"{path}/processed/teachers")
+    return writers.passthrough(table(spark, d, "part"), "teachers", _folder(spark))
 
 
 @query
 def reset_layers(spark, d):
-    """Rows left in a table that was emptied and in one that was not."""
+    """Rows left in a layer that was emptied and in one that was not, and the old versions a sweep then removed."""
     path = _folder(spark)
-    for name in ("nation", "region"):
-        table(spark, d, name).write.parquet(f"{path}/{name}")
-    writers.reset_layers(spark, [f"{path}/nation"])
-    return writers.row_audit({n: spark.read.parquet(f"{path}/{n}") for n in ("nation", "region")})
+    for _ in range(2):
+        versions.publish_layer({n: table(spark, d, n) for n in ("orders", "lineitem")}, path, "sales")
+    versions.publish_layer({"customer": table(spark, d, "customer")}, path, "people")
+    writers.reset_layers(spark, path, ["sales"])
+    parts = []
+    for layer in ("sales", "people"):
+        swept = versions.sweep_layer(spark, path, layer)
+        left = versions.read_layer(spark, path, layer)
+        parts.append(writers.row_audit(left).withColumn("swept", F.lit(len(swept)).cast("bigint")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def write_splits(spark, d):
-    """Rows in each of the three sinks of the courses and students."""
+    """Rows in each of the three sinks of all entities, read back, and as counted while they were written."""
     path = _folder(spark)
-    writers.write_splits({e: validate.split(materialize(_labelled(spark, d, e), "labelled"), e) for e in ("courses", "students")}, path)
-    return writers.row_audit({f"{kind}/{e}": spark.read.parquet(f"{path}/{kind}/{e}") for kind in ("processed", "errors") for e in ("courses", "students")})
+    splits = {e: validate.split(materialize(_labelled(spark, d, e), "labelled"), e) for e in VALIDATED}
+    writers.write_splits(splits, path)
+    counted = versions.layer_audit(spark, path, "validated").withColumnRenamed("row_count", "counted")
+    return writers.row_audit(versions.read_layer(spark, path, "validated")).join(counted, "table_name")
 
 
 @query

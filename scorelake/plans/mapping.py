@@ -16,11 +16,13 @@ from scorelake.functions.numbers import half_up, to_double
 from scorelake.functions.text import is_blank, normalize_header, pack_json, strip_text
 from scorelake.operators.ordinals import exact_quantiles, sequence_id
 from scorelake.operators.skew import group_left_join
+from scorelake.plans import profile
 from scorelake.plans.schemas import (
     ALIASES, BONUS, COLUMNS, FIELD_WORDS, IGNORED_TABLE_WORDS, MAPPING_REQUIRED, PROCESS_REQUIRED, TABLE_WORDS, WEIGHT_RULES,
 )
 from scorelake.sources.checkpoint import materialize
 from scorelake.sources.readers import ORDINAL, empty_table
+from scorelake.sources.uploads import read_uploads
 
 MIN_SCORE = 0.4
 # Upper 99 % quantile of a scale, its name, maximum, pass mark.
@@ -161,33 +163,48 @@ def map_columns(catalog: DataFrame, assigned: DataFrame) -> DataFrame:
     return chosen.select(*where, "entity", "column_name", "field", "confidence")
 
 
-def proposal(catalog: DataFrame) -> DataFrame:
-    """One row per mapped table, with its mapping and confidences as maps.
+def proposal(catalog: DataFrame, minimum: float = MIN_SCORE) -> DataFrame:
+    """One row per mapped table, with its mapping and confidences as maps and the columns no field took, in order.
 
-    Both maps hold at most one entry per field; ignored columns are counted,
-    and listed by ``ignored_columns``. The assignment, a few rows per workbook,
-    is stored because three joins read it.
+    The maps hold at most one entry per field, the list the other columns of one table. The assignment and
+    the mapping, a few rows per workbook, are stored because several joins read them.
     """
-    assigned = materialize(assign_entities(score_tables(catalog)), "assigned")
-    mapped = map_columns(catalog, assigned)
     where = ["workbook", "table_name"]
+    assigned = materialize(assign_entities(score_tables(catalog), minimum), "assigned")
+    mapped = materialize(map_columns(catalog, assigned), "mapped")
     maps = mapped.groupBy(*where).agg(
         F.map_from_entries(F.collect_list(F.struct("column_name", "field"))).alias("column_mapping"),
         F.map_from_entries(F.collect_list(F.struct("field", "confidence"))).alias("field_confidences"),
     )
-    widths = catalog.groupBy(*where).agg(F.count(F.lit(1)).alias("_width"))
+    spare = ignored_columns(catalog, mapped, assigned).groupBy(*where).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("position", "column_name"))), lambda x: x["column_name"]).alias("ignored_columns"))
+    none = F.array().cast("array<string>")
     return (
         assigned.select(*where, "entity", F.col("score").alias("confidence"))
-        .join(maps, where, "left").join(widths, where)
-        .withColumn("ignored_column_count", F.col("_width") - F.coalesce(F.size("column_mapping"), F.lit(0))).drop("_width")
+        .join(maps, where, "left").join(spare, where, "left").withColumn("ignored_columns", F.coalesce("ignored_columns", none))
+        .withColumn("ignored_column_count", F.size("ignored_columns"))
     )
 
 
-def ignored_columns(catalog: DataFrame, mapped: DataFrame) -> DataFrame:
-    """Columns of mapped tables that no field took."""
+def ignored_columns(catalog: DataFrame, mapped: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
+    """Columns of assigned tables that no field took; without an assignment, of tables of which some column was mapped."""
     where = ["workbook", "table_name"]
-    inside = catalog.join(mapped.select(*where).distinct(), where, "left_semi")
-    return inside.select(*where, "column_name").join(mapped, [*where, "column_name"], "left_anti")
+    inside = catalog.join((mapped if assigned is None else assigned).select(*where).distinct(), where, "left_semi")
+    return inside.select(*where, "column_name", "position").join(mapped.select(*where, "column_name"), [*where, "column_name"], "left_anti")
+
+
+def sheets(catalog: DataFrame, profiled: DataFrame, minimum: float = MIN_SCORE) -> DataFrame:
+    """One row per table of any number of workbooks, mapped or not: entity, confidence, rows, mapping, ignored columns.
+
+    Rows come from the profile, so no table is counted again; a table without rows counts 0.
+    """
+    where = ["workbook", "table_name"]
+    counts = profiled.groupBy(*where).agg(F.max("total_rows").alias("row_count"))
+    found = proposal(catalog, minimum).select(*where, "entity", "confidence", "column_mapping", "ignored_columns")
+    return counts.join(found, where, "left").select(
+        *where, "entity", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), "row_count",
+        F.coalesce("column_mapping", F.create_map().cast("map<string,string>")).alias("column_mapping"),
+        F.coalesce("ignored_columns", F.array().cast("array<string>")).alias("ignored_columns"))
 
 
 def detect_scale(scale: DataFrame | None, grades: DataFrame | None) -> DataFrame:
@@ -323,6 +340,9 @@ class Proposal(NamedTuple):
     weight_rule: DataFrame
     warnings: list[str]
     can_process: bool
+    profile: DataFrame  # a row per column
+    row_counts: dict[str, int]
+    ignored_columns: dict[str, list[str]]  # of mapped tables
 
 
 def mapped_view(tables: dict[str, DataFrame], mapping: dict, entity: str) -> DataFrame | None:
@@ -336,16 +356,23 @@ def mapped_view(tables: dict[str, DataFrame], mapping: dict, entity: str) -> Dat
 
 
 def propose_mapping(tables: dict[str, DataFrame]) -> Proposal:
-    """Mapping, scale and weight rule of one set of tables.
+    """Profile, mapping, scale and weight rule of one set of tables.
 
-    Only names come back to the driver: one mapping per entity and field.
+    Only names and one number per table come back to the driver; the profile is stored.
     """
     spark = next(iter(tables.values())).sparkSession
     catalog = build_catalog(spark, {"workbook": tables})
-    mapping, confidence = {}, {}
-    for r in proposal(catalog).collect():
-        mapping[r["entity"]] = (r["table_name"], dict(r["column_mapping"] or {}))
-        confidence[r["entity"]] = r["confidence"]
+    placed = all(ORDINAL in df.columns for df in tables.values())
+    order = {n: [ORDINAL] for n in tables} if placed else None
+    profiled = materialize(profile.profile_cells(profile.cells_of(tables, order, hidden=(ORDINAL,)), catalog), "profile")
+    mapping, confidence, ignored_cells = {}, {}, {}
+    row_counts = {}
+    for r in sheets(catalog, profiled).collect():
+        row_counts[r["table_name"]] = r["row_count"]
+        if r["entity"] is not None:
+            mapping[r["entity"]] = (r["table_name"], dict(r["column_mapping"]))
+            confidence[r["entity"]] = r["confidence"]
+            ignored_cells[r["table_name"]] = list(r["ignored_columns"])
     missing = [e for e in PROCESS_REQUIRED if e not in mapping]
     warnings = [f"Faltan hojas obligatorias para el pipeline: {missing}"] if missing else []
     if "courses" not in mapping:
@@ -358,7 +385,14 @@ def propose_mapping(tables: dict[str, DataFrame]) -> Proposal:
     work = mapped_view(tables, mapping, "assessments")
     taken = {table for table, _ in mapping.values()}
     ignored = [t for t in tables if t not in taken]
-    return Proposal(mapping, confidence, ignored, detect_scale(scale, grades), detect_weight_rule(work), warnings, not missing)
+    return Proposal(mapping, confidence, ignored, detect_scale(scale, grades), detect_weight_rule(work), warnings, not missing, profiled, row_counts, ignored_cells)
+
+
+def propose_uploads(spark: SparkSession, folder: str, minimum: float = MIN_SCORE) -> tuple[DataFrame, DataFrame]:
+    """Sheets and profile of every text table below a folder, any number of workbooks in one scan."""
+    uploads = read_uploads(spark, folder)
+    profiled = materialize(profile.profile_cells(uploads.cells, uploads.catalog), "profile")
+    return sheets(uploads.catalog, profiled, minimum), profiled
 
 
 def missing_fields(mapping: dict) -> list[str]:

@@ -5,10 +5,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Session setting that names the folder of the open `scratch` block, if any.
+SCRATCH = "scorelake.scratch"
 _local_roots: dict[str, str] = {}
 
 
@@ -31,6 +35,33 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     """Writes the frame as Parquet and reads it back: columnar, and safe from
     executor loss because nothing upstream is ever run again."""
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/scorelake/{name}-{uuid.uuid4().hex}"
+    folder = spark.conf.get(SCRATCH, None) or f"{checkpoint_root(spark)}/scorelake"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever file system holds it; one that is gone already is fine."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Frames materialized inside the block are deleted at its end, failed or not.
+
+    What leaves the block must be stored elsewhere. Blocks nest; the session is the
+    scope, so threads that submit jobs of the block write to its folder too.
+    """
+    before = spark.conf.get(SCRATCH, None)
+    folder = f"{checkpoint_root(spark)}/scorelake/scratch-{uuid.uuid4().hex}"
+    spark.conf.set(SCRATCH, folder)
+    try:
+        yield folder
+    finally:
+        if before is None:
+            spark.conf.unset(SCRATCH)
+        else:
+            spark.conf.set(SCRATCH, before)
+        discard(spark, folder)
