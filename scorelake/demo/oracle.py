@@ -508,6 +508,9 @@ CTES["one_book"] = _upload_catalog({"workbook": list(UPLOAD_NAMES)}, UPLOAD_NAME
 CTES["two_books"] = _upload_catalog(UPLOAD_BOOKS, UPLOAD_NAMES, True)
 ORACLES["propose_mapping"] = sheets_sql("one_book", _upload_counts({"workbook": list(UPLOAD_NAMES)}, UPLOAD_NAMES), 0.4)
 ORACLES["propose_uploads"] = sheets_sql("two_books", _upload_counts(UPLOAD_BOOKS, UPLOAD_NAMES), 0.4)
+ORACLES["ingest_uploads"] = f"""
+SELECT table_name, entity, row_count AS raw_rows, row_count AS stored_rows, CAST(row_count AS BIGINT) AS listed_rows, len(string_split(mapping, '|')) AS mapped_columns
+FROM ({ORACLES["propose_mapping"]})"""
 ORACLES["detect_scale"] = """
 SELECT CASE WHEN q <= 5.2 THEN '0-5' WHEN q <= 10.5 THEN '0-10' ELSE '0-100' END AS scale_type, CAST(0 AS DOUBLE) AS min_grade,
   CAST(CASE WHEN q <= 5.2 THEN 5 WHEN q <= 10.5 THEN 10 ELSE 100 END AS DOUBLE) AS max_grade,

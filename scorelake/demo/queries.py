@@ -14,7 +14,7 @@ from scorelake.demo.binding import AS_OF, RAW_ORDER, clean, gold, raw, table
 from scorelake.functions import dates, numbers, predicates, text
 from scorelake.operators import duplicates, ordinals, references, upserts
 from scorelake.operators.group_sums import group_totals
-from scorelake.plans import checks, mapping, marts, measures, profile, reconcile, stage, star, validate
+from scorelake.plans import checks, ingest, mapping, marts, measures, profile, reconcile, stage, star, validate
 from scorelake.plans.layers import run_layers as run
 from scorelake.plans.schemas import COLUMNS, REQUIRED, VALIDATED
 from scorelake.sources import readers, uploads, versions, writers
@@ -521,6 +521,19 @@ def propose_uploads(spark, d):
     return _sheet_rows(mapping.propose_uploads(spark, folder)[0])
 
 
+@query
+def ingest_uploads(spark, d):
+    """The confirmed mapping applied and stored with its record: rows of every sheet as sent, as stored and as
+    listed by the manifest, and how many of its columns were mapped."""
+    tables, root = binding.uploads(spark, d), _folder(spark)
+    proposed = mapping.propose_mapping(tables)
+    ingest.ingest(spark, tables, proposed.mapping, root, row_counts=proposed.row_counts)
+    found = ingest.read_ingestion(spark, root)
+    listed = found.manifest.groupBy("entity").agg(F.sum("row_count").alias("listed_rows"))
+    fields = found.mapping.groupBy("entity").agg(F.count("field").alias("mapped_columns"))
+    return found.counts.join(listed, "entity").join(fields, "entity").select("table_name", "entity", "raw_rows", "stored_rows", "listed_rows", "mapped_columns")
+
+
 @query
 def profile_uploads(spark, d):
     """Tables of eight different headers as text files, profiled from one scan."""
