@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 #: Session setting that names the folder of the open `scratch` block, if any.
 SCRATCH = "scorelake.scratch"
+#: Spark's own setting for dropping shuffle files at the end of a query.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _local_roots: dict[str, str] = {}
 
 
@@ -37,10 +39,23 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     spark = df.sparkSession
     folder = spark.conf.get(SCRATCH, None) or f"{checkpoint_root(spark)}/scorelake"
     path = f"{folder}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Spark drops the shuffle files of a job begun inside the block once the job has ended, instead of when the
+    driver happens to collect its garbage: a stored frame needs them no more."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before or "false")
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Deletes a folder in whatever file system holds it; one that is gone already is fine."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
