@@ -355,6 +355,10 @@ SELECT s.o_orderkey, lower(s.o_orderstatus) AS o_orderstatus, s.o_orderpriority,
   CASE WHEN t.o_orderkey IS NULL THEN DATE '2026-02-01' ELSE DATE '2026-01-01' END AS created_at, DATE '2026-02-01' AS updated_at
 FROM s LEFT JOIN t ON s.o_orderkey = t.o_orderkey
 UNION ALL SELECT *, DATE '2026-01-01', DATE '2026-01-01' FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)"""
+ORACLES["upsert_ranges"] = """
+SELECT o_orderkey, o_custkey, CASE WHEN late THEN lower(o_orderstatus) ELSE o_orderstatus END AS o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority,
+  DATE '2026-01-01' AS created_at, CASE WHEN late THEN DATE '2026-02-01' ELSE DATE '2026-01-01' END AS updated_at, true AS few_ranges
+FROM (SELECT *, o_orderkey > (SELECT max(o_orderkey) - max(o_orderkey) // 100 FROM orders) AS late FROM orders)"""
 ORACLES["cascade_delete"] = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')"""
 ORACLES["land_raw"] = (
@@ -679,9 +683,9 @@ ORACLES["check_seeded"] = check("seeded", "grades", f"""(SELECT count(*) FROM (S
 # Dashboard measures
 def measure_sql(by: list[str], where: str = "true") -> str:
     keys = ", ".join(by)
-    slicers = "LEFT JOIN (SELECT course_id AS co, course_name, grade_level, academic_year FROM c_courses) ON course_id = co LEFT JOIN (SELECT subject_id AS su, department FROM c_subjects) ON subject_id = su"
+    slicers = "LEFT JOIN (SELECT course_id AS co, course_name, grade_level, academic_year FROM c_courses) ON course_id = co LEFT JOIN (SELECT subject_id AS su, subject_name, department FROM c_subjects) ON subject_id = su"
     fact = f"(SELECT * FROM fact {slicers} WHERE {where})"
-    final = f"(SELECT * FROM (SELECT * EXCLUDE (course_name, department) FROM final) {slicers} WHERE {where})"
+    final = f"(SELECT * FROM (SELECT * EXCLUDE (course_name, subject_name, department) FROM final) {slicers} WHERE {where})"
     pre, group = (f"{keys}, ", f"GROUP BY {keys}") if by else ("", "")
     joined = "JOIN b ON " + " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in by) if by else "JOIN b ON true"
     names = "".join(f"a.{k}, " for k in by)
@@ -697,6 +701,14 @@ SELECT {names}total_grades, average_score, students_evaluated, weighted_final, s
 ORACLES["measures_by_course"] = measure_sql(["course_id", "course_name"])
 ORACLES["measures_by_department"] = measure_sql(["grade_level", "department"], "academic_year = 2026")
 ORACLES["measures_overall"] = measure_sql([])
+_SLICERS = {
+    "course": ["course_id", "course_name"], "level": ["grade_level"], "subject": ["subject_id", "subject_name"], "department": ["department"],
+    "level and department": ["grade_level", "department"], "year": ["academic_year"], "all": [],
+}
+_SLICED = {"course_id": "VARCHAR", "course_name": "VARCHAR", "grade_level": "INTEGER", "subject_id": "VARCHAR", "subject_name": "VARCHAR", "department": "VARCHAR", "academic_year": "INTEGER"}
+_MEASURES = "total_grades, average_score, students_evaluated, weighted_final, students_approved, average_final, pass_rate, fail_rate"
+ORACLES["measures_all_slicers"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS slicer, {', '.join(c if c in by else f'CAST(NULL AS {t}) AS {c}' for c, t in _SLICED.items())}, {_MEASURES} FROM ({measure_sql(by)})" for n, by in _SLICERS.items())
 ORACLES["monthly_trend"] = f"""
 SELECT d.year, d.month, count(score) AS total_grades, {avg2('score')} AS average_score FROM fact f JOIN dates d ON f.submission_date = d.date_key GROUP BY 1, 2"""
 ORACLES["subject_spread"] = f"""

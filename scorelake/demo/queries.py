@@ -19,6 +19,7 @@ from scorelake.plans.layers import run_layers as run
 from scorelake.plans.schemas import COLUMNS, REQUIRED, VALIDATED
 from scorelake.sources import readers, uploads, versions, writers
 from scorelake.sources.checkpoint import checkpoint_root, materialize
+from scorelake.sources.keyed_table import KeyedTable
 from scorelake.sources.parallel import together
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -392,6 +393,19 @@ def upsert(spark, d):
     return upserts.upsert(target, source, ["o_orderkey"], F.lit("2026-02-01").cast("date"))
 
 
+@query
+def upsert_ranges(spark, d):
+    """All orders loaded, then the hundredth of them with the highest keys again: the table, and how many of its ranges
+    the second load wrote."""
+    orders = table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    stored = KeyedTable(spark, f"{_folder(spark)}/orders", ["o_orderkey"])
+    stored.load(orders, F.lit("2026-01-01").cast("date"))
+    highest = orders.agg((F.max("o_orderkey") - F.floor(F.max("o_orderkey") / 100)).alias("k")).scalar()
+    late = orders.filter(F.col("o_orderkey") > highest).withColumn("o_orderstatus", F.lower("o_orderstatus"))
+    written = stored.load(late, F.lit("2026-02-01").cast("date"))
+    return stored.read().withColumn("few_ranges", F.lit(0 < len(written) <= 3))
+
+
 @query
 def cascade_delete(spark, d):
     items = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -794,10 +808,31 @@ def check_seeded(spark, d):
 # Dashboard measures
 
 
-def _measured(spark, d, by: list[str], where: Column | None = None) -> DataFrame:
+def _slices(spark, d) -> tuple[DataFrame, dict[str, DataFrame]]:
     g = gold(spark, d)
-    out = measures.measure(g["fact_grades"], _final(g), g["dim_course"], g["dim_subject"], by, where)
-    return out.withColumns({"pass_rate": F.round("pass_rate", 6), "fail_rate": F.round("fail_rate", 6)})
+    return materialize(measures.fact_slices(g["fact_grades"], measures.number_students(g["dim_student"])), "slices"), g
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({"pass_rate": F.round("pass_rate", 6), "fail_rate": F.round("fail_rate", 6)})
+
+
+def _measured(spark, d, by: list[str], where: Column | None = None) -> DataFrame:
+    slices, g = _slices(spark, d)
+    return _rounded(measures.measure(slices, g["dim_course"], g["dim_subject"], by, where))
+
+
+SLICERS = {
+    "course": ["course_id", "course_name"], "level": ["grade_level"], "subject": ["subject_id", "subject_name"], "department": ["department"],
+    "level and department": ["grade_level", "department"], "year": ["academic_year"], "all": [],
+}
+
+
+@query
+def measures_all_slicers(spark, d):
+    """Every slicer of the dashboard in one pass over the stored slices."""
+    slices, g = _slices(spark, d)
+    return _rounded(measures.measure_sets(slices, g["dim_course"], g["dim_subject"], SLICERS))
 
 
 @query
@@ -828,7 +863,7 @@ def subject_spread(spark, d):
 
 @query
 def student_vs_course(spark, d):
-    return measures.student_vs_course(_final_of(spark, d))
+    return measures.student_vs_course(materialize(_final_of(spark, d), "final"))
 
 
 @query

@@ -1,4 +1,8 @@
-"""Dashboard measures over the fact, the final grades and the dimensions."""
+"""Dashboard measures over the fact, the final grades and the dimensions.
+
+The fact is read once, into slices of sums and student bitmaps by course and subject; any measure
+by any slicer is a merge of those. Bitmaps of numbered students make distinct counts exact and mergeable.
+"""
 from __future__ import annotations
 
 from decimal import Decimal
@@ -6,9 +10,13 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.functions.numbers import PASS_MARK, mean_2
+from scorelake.functions.numbers import PASS_MARK, half_up, hundredths, mean_2
+from scorelake.operators.ordinals import number_rows
 from scorelake.operators.skew import group_left_join
 
+SUMS = ["total_grades", "score_sum", "score_n", "weighted", "final_sum", "final_n"]
+BITMAPS = {"seen": "students_evaluated", "approved": "students_approved"}
+
 
 def with_dimensions(df: DataFrame, courses: DataFrame, subjects: DataFrame) -> DataFrame:
     """Adds the slicer columns: course_name, grade_level, academic_year,
@@ -21,35 +29,77 @@ def with_dimensions(df: DataFrame, courses: DataFrame, subjects: DataFrame) -> D
     )
 
 
-def measure(
-    fact: DataFrame, final: DataFrame, courses: DataFrame, subjects: DataFrame, by: list[str], where: Column | None = None
-) -> DataFrame:
-    """Every measure per slice: grades, mean score, students, weighted final,
-    approved students, pass and fail rate (0 on an empty slice), mean final.
+def number_students(students: DataFrame) -> DataFrame:
+    """(student_id, student_no): every student's place in the bitmaps, from 1."""
+    return number_rows(students.select("student_id").distinct(), [F.col("student_id")], "student_no")
 
-    Both sides are summed by slice first; the join meets one row per slice.
+
+def fact_slices(fact: DataFrame, numbers: DataFrame, pass_mark=PASS_MARK) -> DataFrame:
+    """One row per course, subject and bucket of 32,768 students: grades, scores, weighted points and final
+    grades as sums, and who was evaluated and who passed as bitmaps.
+
+    The fact is summed to one row per final grade before anything joins it. ``numbers`` holds every student of
+    the fact. A row is 8 KB of bitmaps, so this pays where a course and subject has many students of a
+    bucket, not where it has a handful. Store the frame: every slicer reads it.
     """
-    def sliced(df: DataFrame) -> DataFrame:
-        out = with_dimensions(df, courses, subjects)
-        return out if where is None else out.filter(where)
-
-    grades = sliced(fact).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("total_grades"),
-        mean_2(F.col("score")).alias("average_score"),
-        F.count_distinct("student_id").alias("students_evaluated"),
-        F.sum(F.col("score") * F.col("weight_percentage") * F.lit(Decimal("0.01"))).cast("decimal(24,6)").alias("weighted_final"),
+    finals = fact.groupBy("student_id", "course_id", "subject_id", "period_id").agg(
+        F.count(F.lit(1)).alias("total_grades"), F.sum(hundredths(F.col("score"))).alias("score_sum"), F.count("score").alias("score_n"),
+        F.sum(F.col("score") * F.col("weight_percentage") * F.lit(Decimal("0.01"))).cast("decimal(24,6)").alias("weighted"),
+        F.round(F.sum("weighted_points"), 2).cast("decimal(5,2)").alias("final"),
     )
-    finals = sliced(final).groupBy(*by).agg(
-        F.count_distinct(F.when(F.col("is_approved"), F.col("student_id"))).alias("students_approved"),
-        mean_2(F.col("final_grade")).alias("average_final"),
+    placed = finals.join(numbers, "student_id", "left")
+    spot = F.bitmap_bit_position("student_no")
+    return placed.groupBy("course_id", "subject_id", F.bitmap_bucket_number("student_no").alias("bucket")).agg(
+        *[F.sum(c).alias(c) for c in ("total_grades", "score_sum", "score_n", "weighted")],
+        F.sum(hundredths(F.col("final"))).alias("final_sum"), F.count("final").alias("final_n"),
+        F.bitmap_construct_agg(spot).alias("seen"), F.bitmap_construct_agg(F.when(F.col("final") >= F.lit(pass_mark), spot)).alias("approved"),
     )
-    if by:
-        both = group_left_join(grades, finals, by)
-    else:
-        pair = finals.select(F.struct("students_approved", "average_final")).scalar()
-        both = grades.withColumn("_f", pair).select(*grades.columns, "_f.*")
+
+
+def _measures(merged: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums over the buckets of a slice, and the rates: pass and fail rate are 0 and 1 on an empty slice."""
+    whole = merged.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], *[F.coalesce(F.sum(F.bitmap_count(b)), F.lit(0)).alias(n) for b, n in BITMAPS.items()])
     rate = F.coalesce(F.try_divide(F.col("students_approved"), F.col("students_evaluated")), F.lit(0.0))
-    return both.withColumn("pass_rate", rate).withColumn("fail_rate", 1 - F.col("pass_rate"))
+
+    def mean(total: str, n: str) -> Column:
+        return half_up(F.col(total), F.col(n) * 100, 2, "decimal(5,2)")
+
+    return whole.select(
+        *keys, F.coalesce("total_grades", F.lit(0)).alias("total_grades"), mean("score_sum", "score_n").alias("average_score"), "students_evaluated",
+        F.col("weighted").cast("decimal(24,6)").alias("weighted_final"), "students_approved", mean("final_sum", "final_n").alias("average_final"),
+        rate.alias("pass_rate"), (1 - rate).alias("fail_rate"),
+    )
+
+
+def _merged_cells() -> list[Column]:
+    return [*[F.sum(c).alias(c) for c in SUMS], *[F.bitmap_or_agg(b).alias(b) for b in BITMAPS]]
+
+
+def measure(slices: DataFrame, courses: DataFrame, subjects: DataFrame, by: list[str], where: Column | None = None) -> DataFrame:
+    """Every measure per slice: grades, mean score, students, weighted final,
+    approved students, mean final, pass and fail rate."""
+    rows = with_dimensions(slices, courses, subjects)
+    rows = rows if where is None else rows.filter(where)
+    return _measures(rows.groupBy(*by, "bucket").agg(*_merged_cells()), by)
+
+
+def measure_sets(
+    slices: DataFrame, courses: DataFrame, subjects: DataFrame, sets: dict[str, list[str]], where: Column | None = None
+) -> DataFrame:
+    """Every measure for several slicers at once: ``slicer`` names the set, columns that it does not have are NULL.
+
+    Grouping sets over the stored slices: one scan, however many slicers there are.
+    """
+    rows = with_dimensions(slices, courses, subjects)
+    rows = rows if where is None else rows.filter(where)
+    columns = list(dict.fromkeys(c for keys in sets.values() for c in keys))
+    tried = [[*[F.col(c) for c in keys], F.col("bucket")] for keys in sets.values()]
+    merged = rows.groupingSets(tried, *columns, "bucket").agg(*_merged_cells(), F.grouping_id().alias("_set"))
+    slicer = F.lit(None).cast("string")
+    for name, keys in sets.items():
+        left_out = int("".join("0" if c in keys else "1" for c in columns) + "0", 2)
+        slicer = F.when(F.col("_set") == left_out, F.lit(name)).otherwise(slicer)
+    return _measures(merged.withColumn("slicer", slicer), ["slicer", *columns])
 
 
 def monthly_trend(fact: DataFrame, dates: DataFrame) -> DataFrame:
@@ -60,8 +110,6 @@ def monthly_trend(fact: DataFrame, dates: DataFrame) -> DataFrame:
     d = dates.select("date_key", "year", "month")
     joined = days.join(d, F.col("submission_date") == F.col("date_key"))
     months = joined.groupBy("year", "month").agg(F.sum("_sum").alias("_sum"), F.sum("_n").alias("total_grades"))
-    from scorelake.functions.numbers import half_up
-
     return months.select("year", "month", "total_grades", half_up(F.col("_sum"), F.col("total_grades") * 100, 2, "decimal(5,2)").alias("average_score"))
 
 
@@ -79,7 +127,10 @@ def subject_spread(final: DataFrame, pass_mark=PASS_MARK) -> DataFrame:
 
 
 def student_vs_course(final: DataFrame) -> DataFrame:
-    """Each final grade beside the mean of its course in the same subject."""
+    """Each final grade beside the mean of its course in the same subject.
+
+    Means and rows both read the final grades: pass a stored frame.
+    """
     means = final.groupBy("course_id", "subject_id").agg(mean_2(F.col("final_grade")).alias("course_average"))
     rows = final.select("student_id", "course_id", "subject_id", "period_id", "final_grade")
     joined = group_left_join(rows, means, ["course_id", "subject_id"])
