@@ -2,13 +2,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from scorelake.llm import bytescan as B
 from scorelake.llm import exchange as X
+from scorelake.sources.checkpoint import materialize
 
 BACKOFF = 0.4
 #: Word lists of different n-gram lengths must not meet under one hash.
@@ -41,8 +44,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     (count(word) + 1) / (all words + 2), so that an unseen word has a score. n_backoff counts the
     words that stepped down at least once. `mean_log_score` is the log score per word.
 
-    The n-gram count table is partitioned by hash; exploded n-grams of a batch of texts meet
-    it as one list per partition, and the counts come back to the batch (see `exchange`).
+    There is a count table per n, partitioned by hash; exploded n-grams of a batch of texts meet
+    it as one list per partition, and the counts come back to the batch (see `exchange`). The tables are
+    made one after the other, and what one of them shuffled is gone before the next.
     A word or n-gram that is everywhere costs one entry a batch.
 
     Words are runs without ASCII white space, A-Z lower-cased, told apart by 64-bit hashes.
@@ -51,17 +55,25 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     not read; an empty table gives an empty table.
     """
     stored, ids, size = X.pack(docs, id_col, text_col)
-    parts = X.parts_for(size / 7 * order)
+    parts = X.parts_for(size / 7)
 
-    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches:
-            for number, batch in X.unpack_rows(table):
-                hashes, _, _ = grams(batch, order)
-                keys, counts = np.unique(np.concatenate([*hashes, np.zeros(1, np.uint64)]), return_counts=True)
-                counts[0] = len(hashes[0])  # key 0 counts all words
-                yield from X.blocks(number, keys, counts, parts)
+    def lists_of(n: int):
+        def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for table in batches:
+                for number, batch in X.unpack_rows(table):
+                    hashes, _, _ = grams(batch, n)
+                    # Key 0 counts all words, in the table of n = 1.
+                    keys, counts = np.unique(np.append(hashes[-1], np.uint64(0)), return_counts=True)
+                    counts[0] = len(hashes[0])
+                    yield from X.blocks(number, keys, counts, parts)
 
-    sums = X.totals(stored.mapInArrow(lists, X.BLOCKS), parts)
+        return lists
+
+    tables = []
+    for n in range(1, order + 1):
+        sums = X.totals(stored.mapInArrow(lists_of(n), X.BLOCKS), parts).drop("first")
+        tables.append(materialize(sums, f"counts-{n}").withColumn("width", F.lit(n)))
+    counted = reduce(DataFrame.unionByName, tables)
 
     def score(texts: pa.Table, totals: pa.Table) -> pa.Table:
         kinds = {"row": pa.int64(), "n_words": pa.int64(), "log_score": pa.float64(), "n_backoff": pa.int64()}
@@ -69,12 +81,11 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
             return pa.table({c: pa.array([], t) for c, t in kinds.items()})
         (_, batch), = X.unpack_rows(texts)
         hashes, owners, n_words = grams(batch, order)
-        found, _ = X.read_totals(totals)
-        keys = B.distinct(np.concatenate([*hashes, np.zeros(1, np.uint64)]))
-        everything = int(found[0])
+        found = [totals_of(totals, n) for n in range(1, order + 1)]
+        everything = int(found[0][0])
         others = []
-        for h, doc in zip(hashes, owners, strict=True):
-            place = np.searchsorted(keys, h)
+        for h, doc, known in zip(hashes, owners, found, strict=True):
+            place = np.searchsorted(B.distinct(np.append(h, np.uint64(0))), h)
             # The same n-gram of the same text: its own count.
             order_ = np.lexsort((place, doc))
             fresh = np.ones(len(order_), bool)
@@ -82,7 +93,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
             run = np.cumsum(fresh) - 1
             own = np.empty(len(h), np.int64)
             own[order_] = np.bincount(run)[run] if len(run) else 0
-            others.append(found[place].astype(np.int64) - own)
+            others.append(known[place] - own)
         words = int(n_words.sum())
         first = np.concatenate([[0], np.cumsum(n_words)])
         doc = owners[0]
@@ -105,11 +116,17 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
             depth[can] = np.where(hit, 0, depth[can] + 1)
         return pa.table({"row": batch.rows, "n_words": n_words, "log_score": by_text(log, first), "n_backoff": B.totals_by_text(depth > 0, first)})
 
-    scored = stored.groupBy("batch").cogroup(sums.groupBy("batch")).applyInArrow(score, "row long, n_words long, log_score double, n_backoff long")
+    scored = stored.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(score, "row long, n_words long, log_score double, n_backoff long")
     return ids.join(scored, "row").selectExpr(
         f"id AS `{id_col}`", "n_words", "log_score", "CASE WHEN n_words > 0 THEN log_score / n_words END AS mean_log_score", "n_backoff")
 
 
+def totals_of(totals: pa.Table, n: int) -> np.ndarray:
+    """A batch's counts of n-grams over the whole corpus, in the order of its ascending keys."""
+    rows = [r for r in totals.select(["width", "part", "n", "totals"]).to_pylist() if r["width"] == n]
+    return np.concatenate([X.unplanes(r["totals"], r["n"]) for r in sorted(rows, key=lambda r: r["part"])]).astype(np.int64)
+
+
 def by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of each text's values; added text by text, so that a text's sum is its own."""
     out = np.zeros(len(first) - 1)
