@@ -79,13 +79,17 @@ def parts_for(entries: float) -> int:
     return max(1, math.ceil(entries / PART_ENTRIES))
 
 
-def planes(deltas: np.ndarray) -> bytes:
-    """Small numbers of 8 bytes, byte by byte: the shuffle's compression drops the zeros."""
-    return deltas.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def planes(values: np.ndarray) -> bytes:
+    """Numbers of 8 bytes, byte by byte, without the high bytes that none of them uses."""
+    rows = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    used = np.flatnonzero(rows.any(1))
+    return rows[: used[-1] + 1 if len(used) else 0].tobytes()
 
 
 def unplanes(data: bytes, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, n).T).view("<u8").ravel()
+    rows = np.zeros((8, n), np.uint8)
+    rows[: len(data) // n] = np.frombuffer(data, np.uint8).reshape(-1, n)
+    return np.ascontiguousarray(rows.T).view("<u8").ravel()
 
 
 def blocks(batch: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
@@ -97,15 +101,7 @@ def blocks(batch: int, keys: np.ndarray, counts: np.ndarray, parts: int) -> Iter
             gaps = np.diff(keys[a:b], prepend=np.uint64(0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([batch]), pa.array([p], pa.int32()), pa.array([b - a], pa.int32()), pa.array([planes(gaps)], pa.binary()),
-                 pa.array([planes32(counts[a:b])], pa.binary())], ["batch", "part", "n", "keys", "counts"])
-
-
-def planes32(values: np.ndarray) -> bytes:
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def unplanes32(data: bytes, n: int) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, n).T).view("<u4").ravel()
+                 pa.array([planes(counts[a:b])], pa.binary())], ["batch", "part", "n", "keys", "counts"])
 
 
 def cut(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -121,7 +117,7 @@ def totals(lists: DataFrame, parts: int) -> DataFrame:
     def add(table: pa.Table) -> pa.Table:
         n = table.column("n").to_numpy()
         keys = np.concatenate([np.cumsum(unplanes(k, m), dtype=np.uint64) for k, m in zip(table.column("keys").to_pylist(), n, strict=True)])
-        counts = np.concatenate([unplanes32(c, m) for c, m in zip(table.column("counts").to_pylist(), n, strict=True)])
+        counts = np.concatenate([unplanes(c, m) for c, m in zip(table.column("counts").to_pylist(), n, strict=True)])
         batch = table.column("batch").to_numpy()
         ends = np.cumsum(n)
         # Batches in order of their number, whatever order the lists came in.

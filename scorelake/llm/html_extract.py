@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from scorelake.llm import bytescan as B
 
 #: Elements whose content is never page text.
-RAW = "script|style|template|noscript|svg|math|iframe|object|canvas|textarea|select|title|head|audio|video"
+RAW = frozenset("script style template noscript svg math iframe object canvas textarea select title audio video".split())
+#: Those that may close themselves.
+FOREIGN = frozenset(["svg", "math"])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -37,12 +39,15 @@ BOILER_WORDS = frozenset(
     "related replies reply responses search share sharing sidebar signup social sponsor sponsored subscribe subscription tags teaser toc toolbar "
     "warning widget".split())
 MAIN_WORDS = frozenset("article content entry main post story".split())
+#: Whose header is a headline, not that of the site.
+OWN_HEADER = frozenset("article entry post story".split())
 #: An element that starts ends these open ones, as far as the nearest of their containers.
 CLOSES = {"li": (["li"], ["ul", "ol", "menu", "dir"]), "dt": (["dt", "dd"], ["dl"]), "dd": (["dt", "dd"], ["dl"]), "option": (["option"], ["select"]),
           "tr": (["tr", "td", "th"], ["table", "tbody", "thead", "tfoot"]), "td": (["td", "th"], ["tr", "table"]), "th": (["td", "th"], ["tr", "table"])}
 ATTRIBUTES = r"(?:[^<>\"']|\"[^\"]*\"|'[^']*')*"
 TOKEN = re.compile(
-    rf"<!--.*?(?:--!?>|\Z)|<({RAW})\b{ATTRIBUTES}>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)({ATTRIBUTES})>|<[!?][^>]*>", re.S | re.I)
+    rf"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)({ATTRIBUTES})>|<[!?][^>]*>", re.S)
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 NAMED = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 ANCHOR = re.compile(r"(?:^|\s)(?:id|name)\s*=", re.I)
@@ -52,7 +57,8 @@ PARTS = re.compile(r"[a-z]+")
 UNSPACED = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
 ONE_UNSPACED = re.compile(f"[{UNSPACED}]")
 WORD = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
-FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "boiler", "main", "main_on_page", "heading"]
+FEATURES = [
+    "words", "links", "words_before", "links_before", "words_after", "links_after", "boiler", "main", "main_on_page", "heading", "boiler_before", "boiler_after"]
 
 
 def count_words(words: list[str]) -> int:
@@ -79,7 +85,6 @@ class Open(NamedTuple):
     name: str = ""
     boiler: bool = False
     main: bool = False
-    linked: bool = False
     heading: bool = False
     in_p: bool = False
 
@@ -89,10 +94,13 @@ OUTSIDE = Open()
 
 @dataclass
 class Reader:
-    """Open elements and the block being read."""
+    """Open elements and the block being read. Every step is as long as what it closes, so a page
+    costs what it has tags, however deep or broken."""
 
     blocks: list[Block] = field(default_factory=list)
     open_: list[Open] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)
+    link_at: int = -1
     parts: list[str] = field(default_factory=list)
     in_link: list[str] = field(default_factory=list)
 
@@ -110,68 +118,103 @@ class Reader:
 
     def text(self, raw: str) -> None:
         self.parts.append(raw)
-        if self.inner().linked:
+        if self.link_at >= 0:
             self.in_link.append(raw)
 
     def unlink(self) -> None:
         """Ends the open <a> but none of the elements inside it."""
-        self.open_ = [e._replace(name="" if e.name == "a" else e.name, linked=False) for e in self.open_]
+        self.open_[self.link_at] = self.open_[self.link_at]._replace(name="")
+        if self.places["a"][-1] == self.link_at:
+            self.places["a"].pop()
+        else:
+            self.places["a"].remove(self.link_at)
+        self.places.setdefault("", []).append(self.link_at)  # nothing looks for a place without a name
+        self.link_at = -1
+
+    def last(self, names: list[str]) -> int:
+        """Where the innermost open element of these names is, or -1."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=-1)
+
+    def cut(self, at: int) -> None:
+        """Closes the element at this place and all inside it."""
+        for e in self.open_[at:]:
+            self.places[e.name].pop()
+        del self.open_[at:]
+        if self.link_at >= at:
+            self.link_at = -1
 
     def close(self, name: str) -> None:
-        for i in range(len(self.open_) - 1, -1, -1):
-            if self.open_[i].name == name:
-                del self.open_[i:]
-                return
+        at = self.last([name])
+        if at >= 0:
+            self.cut(at)
 
     def start(self, name: str, attributes: str) -> None:
         if name in CLOSES:
             ends, within = CLOSES[name]
-            for i in range(len(self.open_) - 1, -1, -1):
-                if self.open_[i].name in within:
-                    break
-                if self.open_[i].name in ends:
-                    del self.open_[i:]
-                    break
+            at = self.last(ends)
+            if at > self.last(within):
+                self.cut(at)
         if name in VOID:
             return
         # Links do not nest, so a link that was never closed ends where the next one starts;
         # a named place in the page is no link.
-        if name == "a" and self.inner().linked:
+        if name == "a" and self.link_at >= 0:
             self.unlink()
         link = name == "a" and not (ANCHOR.search(attributes) and not HREF.search(attributes))
         at = self.inner()
         own = name in BOILER_TAGS
         if attributes and not own and name not in ("html", "body"):
-            # `has-sidebar` and the like say what a wrapper holds beside the article.
-            given = [t for m in NAMED.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()]
-            named = {w for t in given if not t.startswith(("has-", "no-", "with-", "without-")) for w in PARTS.findall(t)}
-            own = bool(named & BOILER_WORDS) and not (name in MAIN_TAGS and named & MAIN_WORDS) or bool(HIDDEN.search(attributes))
+            own = is_boiler(name, attributes)
         title = len(name) == 2 and name[0] == "h" and name[1].isdigit()
-        self.open_.append(Open(name, at.boiler or own, at.main or name in MAIN_TAGS, at.linked or link, at.heading or title, at.in_p or name == "p"))
+        self.places.setdefault(name, []).append(len(self.open_))
+        if link:
+            self.link_at = len(self.open_)
+        self.open_.append(Open(name, at.boiler or own, at.main or name in MAIN_TAGS, at.heading or title, at.in_p or name == "p"))
+
+
+def is_boiler(name: str, attributes: str) -> bool:
+    """Whether class, id or role name something that surrounds an article. `has-sidebar` and the like say what a
+    wrapper holds beside the article; the header of a post is its headline."""
+    given = [t for m in NAMED.finditer(attributes) for t in (m[1] or m[2] or m[3] or "").lower().split()]
+    named: set[str] = set()
+    for t in given:
+        if not t.startswith(("has-", "no-", "with-", "without-")):
+            words = set(PARTS.findall(t))
+            named |= words - {"header"} if words & OWN_HEADER else words
+    return bool(named & BOILER_WORDS) and not (name in MAIN_TAGS and named & MAIN_WORDS) or bool(HIDDEN.search(attributes))
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page, in order. A tag of a block-level element ends a block;
-    `br` is white space. Broken pages read as far as their tags can be told."""
+    `br` is white space. What a script, a drawing and the like hold is no text; where the end tag of
+    one is missing, only its tag is passed over. Broken pages read as far as their tags can be told."""
     r = Reader()
-    at = 0
-    for m in TOKEN.finditer(page):
+    at, endless = 0, set()
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             r.text(page[at : m.start()])
         at = m.end()
-        if not m[3]:
+        if not m[2]:
+            continue
+        name = m[2].lower()
+        if name in RAW:
+            closed = m[1] or name in FOREIGN and m[3].endswith("/") or name in endless
+            if not closed:
+                if end := RAW_END[name].search(page, at):
+                    at = end.end()
+                else:
+                    endless.add(name)
             continue
-        name = m[3].lower()
         if name == "br":
             r.parts.append(" ")
         elif name in BLOCK:
             r.flush()
-            if not m[2] and r.inner().in_p:
+            if not m[1] and r.inner().in_p:
                 r.close("p")
-        if m[2]:
+        if m[1]:
             r.close(name)
         else:
-            r.start(name, m[4])
+            r.start(name, m[3])
     if at < len(page):
         r.text(page[at:])
     r.flush()
@@ -190,6 +233,7 @@ def features(blocks: list[Block]) -> np.ndarray:
     out[:, 7] = [b.main for b in blocks]
     out[:, 8] = any(b.main for b in blocks)
     out[:, 9] = [b.heading for b in blocks]
+    out[1:, 10], out[:-1, 11] = out[:-1, 6], out[1:, 6]
     return out
 
 
@@ -243,10 +287,21 @@ MARKED = (
     "<aside><p>{drop}</p></aside><form><p>{drop}</p></form><p>{keep}</p><div class='comments'><p>{drop}</p><p>{drop}</p></div></article>"
     "<section id='comments'><p>{drop}</p></section><div><p>{drop}</p></div><form><p>{drop}</p></form><div class='sidebar'><p>{drop}</p></div><footer>{drop}</footer>")
 PLAIN = (
-    "<header><p>{drop}</p></header><div><ul>{menu}</ul></div><div><a href='/'>{drop}</a></div><div><h1>keep title</h1><p>{keep}</p><p>{keep}</p><p>keep so.</p><p>keep</p><p>keep中文</p><p>{keep}</p></div>"
+    "<header><p>{drop}</p></header><div><ul>{menu}</ul></div><div><a href='/'>{drop}</a></div><div><h1>keep title</h1><p>{keep}</p><p>{keep}</p><p>keep so.</p><p>keep</p><p>keep中文</p><p>{keep}</p>"
+    "<p><a href='/b'>{keep}</a></p><p>{keep}</p><p>keep <a href='/c'>{linked}</a></p><p>{keep}</p>"
+    "<div class='ad'>{drop}</div><p>{keep}</p><div class='promo'><p>{drop}</p></div><div>{keep}</div></div>"
+    "<div><a href='/r'>{drop}</a></div>"
     "<div class='comments'><p>{drop}</p></div><div><a href='/p'>{drop}</a> <a href='/q'>{linked}</a></div><div class='promo'><p>{drop}</p></div><footer>{drop}</footer>")
 MENU = "".join(f"<li><a href='/{w}'>drop {w}</a></li>" for w in ("home", "world", "sport", "arts"))
-LENGTHS = {MARKED: (0, 2, 10, 30, 100, 400), PLAIN: (0, 2, 15, 40, 120, 400)}
+#: A page whose elements have no names: link lists and rows of teasers tell by their neighbours, which are links too.
+NAMELESS = (
+    "<div><div><a href='/'>{drop}</a></div><div>{links}</div></div><div><h1>{keep}</h1><div>{keep}</div><div>{keep}</div><div><a href='/b'>{keep}</a></div>"
+    "<div>{keep}</div><div>keep.</div><div>{keep}</div></div><div>{teasers}</div><div>{links}</div>")
+#: A link that begins or ends a page, alone.
+BARE = "<div><a href='/'>{drop}</a></div><p>{keep}</p><p>{keep}</p><div><a href='/z'>{drop}</a></div>"
+LINKS = "".join(f"<div><a href='/{w}'>drop {w}</a></div>" for w in ("home", "world", "sport"))
+TEASERS = "<div><a href='/t'>{drop}</a></div>" * 4
+LENGTHS = {MARKED: (0, 2, 10, 30, 100, 400), PLAIN: (0, 2, 15, 40, 120, 400), NAMELESS: (0, 2, 12, 35, 110, 400), BARE: (0, 2, 8, 40, 400)}
 
 
 def labelled() -> tuple[np.ndarray, np.ndarray]:
@@ -255,7 +310,8 @@ def labelled() -> tuple[np.ndarray, np.ndarray]:
     for page, lengths in LENGTHS.items():
         for n in lengths:
             more = " word" * n
-            blocks = blocks_of(page.format(keep="keep" + more, drop="drop" + more, linked="linked" + more, menu=MENU))
+            drop = "drop" + more
+            blocks = blocks_of(page.format(keep="keep" + more, drop=drop, linked="linked" + more, menu=MENU, links=LINKS, teasers=TEASERS.format(drop=drop)))
             x.append(features(blocks))
             y += [float(b.text.startswith("keep")) for b in blocks]
     return np.concatenate(x), np.array(y)
@@ -268,8 +324,7 @@ def tree() -> Node:
 
 def main_text(page: str) -> str:
     blocks = blocks_of(page)
-    # A single word without any tag is not a page.
-    if not blocks or "<" not in page and len(blocks) == 1 and blocks[0].words == 1:
+    if not blocks:
         return ""
     return "\n".join(b.text for b, keep in zip(blocks, predict(tree(), features(blocks)), strict=True) if keep)
 

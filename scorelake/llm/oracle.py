@@ -13,7 +13,7 @@ PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 MIX = rf"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, {SPACED})), 0) AS BIGINT) AS size,
-         md5(concat_ws(':', '42', CAST(doc_id AS VARCHAR))) AS h
+         md5(concat_ws(':', '42', CAST(doc_id AS VARCHAR), md5(text))) AS h
   FROM documents),
 sums AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (
@@ -90,6 +90,10 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
 """
 
+SHARES = ",\n".join(
+    f"    coalesce((SELECT chars FROM share s WHERE s.doc_id = d.doc_id AND s.n = {n}), 0)::DOUBLE / greatest(length(array_to_string(w, '')), 1) AS dup_{n}" for n in NGRAM_LIMITS)
+LIMITS = " AND ".join(f"dup_{n} <= {x}" for n, x in NGRAM_LIMITS.items())
+
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, {SPACED}), []) AS w FROM documents),
 word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
@@ -108,12 +112,11 @@ m AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
     CAST(coalesce((SELECT words FROM share s WHERE s.doc_id = d.doc_id AND s.n = 3), 0) AS BIGINT) AS n_repeat_words,
-    coalesce(dup.chars, 0) / greatest(length(array_to_string(w, '')), 1) <= {LINE_LIMIT} AND NOT EXISTS (
-      SELECT 1 FROM share s WHERE s.doc_id = d.doc_id AND s.n > 3
-        AND s.chars::DOUBLE / greatest(length(array_to_string(w, '')), 1) > CASE s.n {' '.join(f'WHEN {n} THEN {x}' for n, x in NGRAM_LIMITS.items())} END::DOUBLE) AS fine
+    coalesce(dup.chars, 0)::DOUBLE / greatest(length(array_to_string(w, '')), 1) AS dup_line_share,
+{SHARES}
   FROM d LEFT JOIN dup ON d.doc_id = dup.doc_id)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND fine AS kept
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND dup_line_share <= {LINE_LIMIT} AND {LIMITS} AS kept
 FROM m
 """
 

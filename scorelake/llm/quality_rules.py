@@ -10,12 +10,10 @@ from pyspark.sql import functions as F
 
 from scorelake.llm import bytescan as B
 
-#: Largest share of word characters inside repeated n-grams, by n: 0.10 above the published
-#: Gopher limits, so that a licence or greeting line that comes twice in a text of 50 words
-#: does not fail it.
-NGRAM_LIMITS = {5: 0.25, 6: 0.24, 7: 0.23, 8: 0.22, 9: 0.21, 10: 0.20}
+#: Fixed values, the published Gopher limits: largest share of word characters inside repeated n-grams, by n.
+NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Largest share of word characters in lines that repeat an earlier line.
-LINE_LIMIT = 0.30
+LINE_LIMIT = 0.20
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 NOT_NEWLINE = np.ones(256, bool)

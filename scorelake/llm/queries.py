@@ -59,8 +59,7 @@ def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

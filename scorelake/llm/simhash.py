@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ SEED = 42
 PIVOTS = 16
 #: Equal pieces that a candidate pair must share; a bucket then has at most 2**(64 * max_bits / pieces) members.
 SHARED = 4
+#: Buckets of more members are looked up by flipped bits where that is fewer steps.
+LARGE = 256
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -82,7 +85,8 @@ def links(fps: DataFrame, max_bits: int = 2, n_pivots: int = PIVOTS) -> DataFram
     meet in the bucket of some choice of SHARED pieces. Inside a bucket rows are compared
     at growing lags of a sorted run: the table of distances to the pivots drops a pair
     whose coordinates differ by more than max_bits anywhere (triangle inequality), and
-    the true distance verifies the rest. Fingerprints are distinct, so a bucket has a
+    the true distance verifies the rest. In a large bucket each member is looked up under every flip of its few
+    open bits instead, so no bucket costs the square of its size. Fingerprints are distinct, so a bucket has a
     size bound whatever the number of documents, and a fingerprint at most
     sum(C(64, i), i <= max_bits) links.
     """
@@ -98,20 +102,20 @@ def links(fps: DataFrame, max_bits: int = 2, n_pivots: int = PIVOTS) -> DataFram
     buckets = keyed.repartition("choice", "bits").sortWithinPartitions("choice", "bits", "fp")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
-        for batch in [*batches_of(batches), None]:
-            if batch is not None:
-                now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-                held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
-                # The last bucket may go on in the next batch.
-                same = (held[0] == held[0][-1]) & (held[1] == held[1][-1])
-                cut = len(same) - int(same[::-1].argmin()) if not same.all() else 0
-                ready, held = [x[:cut] for x in held], [x[cut:] for x in held]
-            elif held is None:
-                return
-            else:
-                ready = held
-            yield from close_pairs(*ready, refs, max_bits)
+        held: list[list[np.ndarray]] = []
+        for batch in batches_of(batches):
+            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            # The last bucket may go on in the next batch: what is before it is ready.
+            last = (now[0] == now[0][-1]) & (now[1] == now[1][-1])
+            cut = len(last) - int(last[::-1].argmin()) if not last.all() else 0
+            goes_on = bool(held) and held[0][0][0] == now[0][0] and held[0][1][0] == now[1][0]
+            if cut == 0 and (goes_on or not held):
+                held.append(now)
+                continue
+            yield from close_pairs(*joined([*held, [x[:cut] for x in now]]), refs, masks, max_bits)
+            held = [[x[cut:] for x in now]]
+        if held:
+            yield from close_pairs(*joined(held), refs, masks, max_bits)
 
     found = buckets.mapInArrow(compare, "a long, b long")
     return found.distinct()
@@ -121,11 +125,45 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return (b for b in batches if b.num_rows)
 
 
-def close_pairs(choice: np.ndarray, bits: np.ndarray, fp: np.ndarray, refs: np.ndarray, max_bits: int) -> Iterator[pa.RecordBatch]:
-    """Verified pairs of one bucket, for all buckets of a sorted run."""
+def joined(runs: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(x) for x in zip(*runs, strict=True)]
+
+
+def flips(open_bits: int, max_bits: int, most: int) -> np.ndarray | None:
+    """Every mask of 1 to max_bits of these bits; None if there are more than `most`."""
+    places = [np.uint64(1) << np.uint64(b) for b in range(64) if open_bits >> b & 1]
+    if sum(math.comb(len(places), k) for k in range(1, max_bits + 1)) > most:
+        return None
+    return np.array([np.bitwise_or.reduce(c) for k in range(1, max_bits + 1) for c in itertools.combinations(places, k)], np.uint64)
+
+
+def close_pairs(choice: np.ndarray, bits: np.ndarray, fp: np.ndarray, refs: np.ndarray, masks: list[int], max_bits: int) -> Iterator[pa.RecordBatch]:
+    """Verified pairs of one bucket, for all buckets of a run sorted by (choice, bits, fp).
+
+    A bucket of more members than there are ways to flip max_bits of its open bits is looked up flip by
+    flip, in time that grows with its size; in the others, members are compared at growing lags.
+    """
     if len(fp) < 2:
         return
     raw = fp.view(np.uint64)
+    cuts = np.flatnonzero(np.r_[True, (choice[1:] != choice[:-1]) | (bits[1:] != bits[:-1])])
+    sizes = np.diff(np.r_[cuts, len(fp)])
+    small = np.ones(len(fp), bool)
+    chosen = list(itertools.combinations(range(len(masks)), SHARED))
+    for at, size in zip(cuts[sizes > LARGE].tolist(), sizes[sizes > LARGE].tolist(), strict=True):
+        fixed = sum(masks[p] for p in chosen[int(choice[at])])
+        ways = flips(((1 << 64) - 1) ^ fixed, max_bits, size)
+        if ways is None:
+            continue
+        small[at : at + size] = False
+        mine = np.sort(raw[at : at + size])
+        for way in ways:
+            other = mine ^ way
+            spot = np.searchsorted(mine, other)
+            hit = (spot < size) & (mine[np.minimum(spot, size - 1)] == other) & (mine.view(np.int64) < other.view(np.int64))
+            if hit.any():
+                yield pa.RecordBatch.from_arrays([pa.array(mine[hit].view(np.int64)), pa.array(other[hit].view(np.int64))], ["a", "b"])
+    choice, bits, fp, raw = choice[small], bits[small], fp[small], raw[small]
     table = np.bitwise_count(raw[:, None] ^ refs[None, :]).astype(np.int8)
     left = np.arange(len(fp))
     lag = 1

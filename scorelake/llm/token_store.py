@@ -10,6 +10,7 @@ arrays, after Limasset et al. 2017) and one fixed-width record per key.
 """
 from __future__ import annotations
 
+import json
 import math
 import uuid
 import zlib
@@ -20,6 +21,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from scorelake.llm import bytescan as B
 from scorelake.sources.checkpoint import checkpoint_root, materialize
@@ -33,6 +35,9 @@ SHARD_BYTES = 32 << 20
 PART_KEYS = 500_000
 #: Pieces of text whose ids a Python worker remembers, about 40 bytes each.
 KNOWN_UNITS = 2_000_000
+#: How a tokenizer file must normalise and part text for `units_of` to part it alike.
+UNIT_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+UNIT_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 RECORD = np.dtype([("print", "<u4"), ("shard", "<u4"), ("last", "<u4"), ("place", "<u4")])
 
 
@@ -79,9 +84,18 @@ def units_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return low, begin, stop, np.searchsorted(begin, off)
 
 
+def parts_alike(config: dict) -> bool:
+    """Whether the tokenizer of this file parts text where `units_of` does, so that pieces can be encoded one by one."""
+    first, *rest = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = {"type": "Split", "pattern": {"Regex": UNIT_SPLIT}, "behavior": "Removed", "invert": True}
+    bytes_only = all(p.get("type") == "ByteLevel" and not p.get("use_regex") and not p.get("add_prefix_space") for p in rest)
+    return config.get("normalizer") == UNIT_NORMALIZER and first == split and bytes_only
+
+
 class Encoder:
     """Ids of whole texts. Each distinct piece (see `units_of`) goes through the library
-    once and is then remembered under its 64-bit hash, up to KNOWN_UNITS of them."""
+    once and is then remembered under its 64-bit hash, up to KNOWN_UNITS of them. Texts of a tokenizer that
+    parts otherwise go through the library whole."""
 
     def __init__(self, path: str) -> None:
         import os
@@ -90,6 +104,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as config:
+            self.by_piece = parts_alike(json.load(config))
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.clear()
 
@@ -118,6 +134,10 @@ class Encoder:
 
     def __call__(self, column: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by `end`, and the number of ids of each text."""
+        if not self.by_piece:
+            texts = [t or "" for t in column.to_pylist()]
+            lists = [np.array([*e.ids, end], self.pool.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.concatenate([self.pool[:0], *lists]), np.array([len(x) for x in lists], np.int64)
         buf, off = B.text_bytes(column)
         low, begin, stop, first = units_of(buf, off)
         hashes = B.span_hashes(low, begin, stop)
@@ -161,9 +181,11 @@ def write_shards(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     Rows are range-partitioned by (id, text hash, row number), so that even one id with a
     third of all rows spreads over many shards. A task names its file after itself, and
     the manifest, written by Spark's committer, lists one file per shard: what a
-    lost or doubled task leaves behind is never read.
+    lost or doubled task leaves behind is never read. Ids are whole numbers or null; others are an error before any work.
     """
-    spark = docs.sparkSession
+    spark, kind = docs.sparkSession, docs.schema[id_col].dataType
+    if not isinstance(kind, IntegralType):
+        raise ValueError(f"documents are keyed by whole numbers; {id_col} is {kind.simpleString()}")
     folder = f"{root or checkpoint_root(spark)}/tokens-{uuid.uuid4().hex}"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
