@@ -62,6 +62,13 @@ def read_text_table(
     return raw.select(*cells)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer tasks than cores (one row group, one small file) dealt out to all of them before
+    costly expressions run on it; any other frame as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if 2 * df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_parquet_ordered(spark: SparkSession, path: str) -> DataFrame:
     """Parquet rows with ``_ord``, their file and index in it."""
     df = spark.read.parquet(path)
