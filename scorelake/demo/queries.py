@@ -477,7 +477,7 @@ def data_dictionary(spark, d):
 
 def _word_catalog(spark, d) -> DataFrame:
     """Documents as uploads: a table per document, a column per distinct word."""
-    docs = table(spark, d, "documents").select(F.col("source").alias("workbook"), F.col("doc_id").cast("string").alias("doc"), "lang", "text")
+    docs = readers.spread(table(spark, d, "documents")).select(F.col("source").alias("workbook"), F.col("doc_id").cast("string").alias("doc"), "lang", "text")
     words = docs.select("workbook", "doc", "lang", F.posexplode(F.split(F.lower("text"), "[^a-zà-ÿ]+")).alias("position", "column_name"))
     seen = words.filter("column_name <> ''").groupBy("workbook", "doc", "lang", "column_name").agg(F.min("position").alias("position"))
     names = F.array(*[F.lit(n) for n in ("notas", "mis_alumnos", "Evaluación 1", "curso", "diccionario", "asistencia", "Periodo")])

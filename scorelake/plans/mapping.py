@@ -15,7 +15,6 @@ from scorelake.functions.dates import canonical_date_text
 from scorelake.functions.numbers import half_up, to_double
 from scorelake.functions.text import is_blank, normalize_header, pack_json, strip_text
 from scorelake.operators.ordinals import exact_quantiles, sequence_id
-from scorelake.operators.skew import group_left_join
 from scorelake.plans import profile
 from scorelake.plans.schemas import (
     ALIASES, BONUS, COLUMNS, FIELD_WORDS, IGNORED_TABLE_WORDS, MAPPING_REQUIRED, PROCESS_REQUIRED, TABLE_WORDS, WEIGHT_RULES,
@@ -63,9 +62,9 @@ def score_tables(catalog: DataFrame) -> DataFrame:
     # Headers repeat over the uploads: each distinct one is looked up once.
     heads = catalog.select("column_name").distinct().withColumn("word", normalize_header(F.col("column_name")))
     known = heads.join(F.broadcast(_word_rows(spark)), "word")
-    known = known.groupBy("column_name").agg(F.collect_set(F.struct("entity", "mark")).alias("marks"))
-    marked = group_left_join(catalog.select(*where, "column_name"), known, ["column_name"])
-    found = marked.filter("marks is not null").select(*where, F.inline("marks")).distinct()
+    # Stored, so that Spark knows how few headers say anything before it joins all columns with them.
+    known = materialize(known.groupBy("column_name").agg(F.collect_set(F.struct("entity", "mark")).alias("marks")), "known-headers")
+    found = catalog.select(*where, "column_name").join(known, "column_name").select(*where, F.inline("marks")).distinct()
     is_bonus = F.col("mark").startswith("#")
     hits = found.groupBy(*where, "entity").agg(F.count_if(~is_bonus).alias("_fields"), F.count_if(is_bonus).alias("_sets"))
     entities = F.array(
@@ -154,9 +153,8 @@ def map_columns(catalog: DataFrame, assigned: DataFrame) -> DataFrame:
     score = F.when(F.array_contains(words, word), F.when(top, 1.0).otherwise(0.95)).when(_overlaps(words, word), 0.7)
     option = F.struct(F.col("f.place").alias("place"), F.col("f.field").alias("field"), F.col("confidence"))
     fitting = tried.withColumn("confidence", score).filter("confidence is not null")
-    heads = fitting.groupBy("entity", "column_name").agg(F.collect_list(option).alias("options"))
-    offers = group_left_join(columns, heads, ["entity", "column_name"])
-    offers = offers.select(*where, "entity", "column_name", "position", F.inline("options"))
+    heads = materialize(fitting.groupBy("entity", "column_name").agg(F.collect_list(option).alias("options")), "fitting-headers")
+    offers = columns.join(heads, ["entity", "column_name"]).select(*where, "entity", "column_name", "position", F.inline("options"))
     ranks = [-F.col("confidence"), F.col("position"), F.col("place")]
     widest = max(len(f) for f in FIELD_WORDS.values())
     chosen = greedy_pairs(offers, [*where, "entity"], "column_name", "field", ranks, widest)

@@ -24,8 +24,6 @@ def rows_of(table):
 
 @pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, duck, name):
-    if name == "run_layers":
-        pytest.skip("long; the same run is covered in test_layers and by the driver")
     got = contract.queries()[name](spark, SF).toArrow()
     sql = contract.oracle_sql().get(name)
     if sql is None:
