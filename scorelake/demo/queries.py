@@ -476,15 +476,14 @@ def data_dictionary(spark, d):
 
 
 def _word_catalog(spark, d) -> DataFrame:
-    """Documents as uploads: a table per document, a column per distinct word."""
-    docs = readers.spread(table(spark, d, "documents")).select(F.col("source").alias("workbook"), F.col("doc_id").cast("string").alias("doc"), "lang", "text")
-    words = docs.select("workbook", "doc", "lang", F.posexplode(F.split(F.lower("text"), "[^a-zà-ÿ]+")).alias("position", "column_name"))
-    seen = words.filter("column_name <> ''").groupBy("workbook", "doc", "lang", "column_name").agg(F.min("position").alias("position"))
+    """Documents as uploads: a table per document, a column per distinct word, in the order of their first use."""
+    words = F.array_distinct(F.split(F.lower("text"), "[^a-zà-ÿ]+"))
+    docs = readers.spread(table(spark, d, "documents")).select(F.col("source").alias("workbook"), "doc_id", F.posexplode(words).alias("position", "column_name"))
     names = F.array(*[F.lit(n) for n in ("notas", "mis_alumnos", "Evaluación 1", "curso", "diccionario", "asistencia", "Periodo")])
-    pick = (F.col("doc").cast("bigint") % 7).cast("int")
-    return seen.select(
-        "workbook", F.concat(F.element_at(names, pick + 1), F.lit(" "), "doc").alias("table_name"),
-        F.col("doc").cast("int").alias("table_position"), "column_name", "position",
+    pick = (F.col("doc_id") % 7).cast("int")
+    return docs.filter("column_name <> ''").select(
+        "workbook", F.concat(F.element_at(names, pick + 1), F.lit(" "), F.col("doc_id").cast("string")).alias("table_name"),
+        F.col("doc_id").cast("int").alias("table_position"), "column_name", "position",
     )
 
 
