@@ -210,3 +210,30 @@ def test_scratch_frames_are_gone_afterwards(spark, tmp_path):
         raise RuntimeError("ends early")
     assert not Path(outer).exists()
     materialize(spark.range(1)).count()
+
+
+def test_cells_are_counted_without_a_sort(spark, tmp_path):
+    """Counts and places of cells fit hash maps, for opened tables as for uploads."""
+    (tmp_path / "up").mkdir()
+    (tmp_path / "up" / "t.csv").write_text("a,b\n1,2\n", encoding="utf-8")
+    sent = uploads.read_uploads(spark, str(tmp_path / "up"))
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    for got in (profile.profile_cells(sent.cells, sent.catalog), profile.profile_columns(df, "orders")):
+        assert nodes(got, r"SortAggregate") == 0
+
+
+def test_first_values_over_blocks_and_parts(spark, tmp_path):
+    """Samples are the first distinct values by file, block and line, however Spark deals the blocks to tasks."""
+    table = tmp_path / "up" / "t.csv"
+    table.mkdir(parents=True)
+    cells = [f"v{(i // 700) * 7 % 10}" for i in range(6000)]
+    for part, (a, b) in enumerate(((0, 1500), (1500, 1600), (1600, 6000))):
+        (table / f"part-{part}.csv").write_text("id,v\n" + "".join(f"{i},{cells[i]}\n" for i in range(a, b)), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        sent = uploads.read_uploads(spark, str(tmp_path / "up"))
+        got = {r["column_name"]: r for r in profile.profile_cells(sent.cells, sent.catalog).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got["v"]["sample_values"] == list(dict.fromkeys(cells))[:5] and got["v"]["unique_count"] == len(set(cells))
+    assert got["id"]["sample_values"] == list("01234") and got["id"]["unique_count"] == 6000
