@@ -95,3 +95,10 @@ def test_pack_json_keeps_only_filled_cells(spark):
 
 def test_scale_constants_cover_every_maximum():
     assert [s[0] for s in mapping.SCALES][-1] is None
+
+
+def test_both_strips_do_as_python(spark):
+    ends = ["", " ", "\t", "\x1c", "\x00", "!", "~", "\x7f", "\x80", "\x85", "\xa0", "é", "\u2003", "\u3000", "😀"]
+    cells = [f"{a}{m}{b}" for a in ends for m in ("", "a", "a b") for b in ends]
+    for strip in (text.strip_text, text.strip_seldom_padded):
+        assert values(spark, lambda C, strip=strip: strip(C), [*cells, None]) == [*(c.strip() for c in cells), None]
