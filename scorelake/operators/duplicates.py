@@ -1,10 +1,13 @@
 """Duplicate handling. ``order`` names columns that together order all rows."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorelake.operators.skew import group_left_join
+from scorelake.sources.checkpoint import FEW_HASHES
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -24,18 +27,25 @@ def _repeated_keys(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
 
 
 def flag_duplicates(
-    df: DataFrame, keys: list[str], order: list[str], where: Column | None = None, out: str = "_duplicate"
+    df: DataFrame, keys: list[str], order: list[str], where: Column | None = None, out: str = "_duplicate",
+    settle: Callable[..., tuple[DataFrame, bool]] | None = None,
 ) -> DataFrame:
     """Adds a BOOLEAN: true on every copy but the first; NULL keys are equal.
 
     Only keys met more than once come back to the rows, through a join;
     no window ever holds a whole group. With ``where``, other rows neither
-    count nor get flagged.
+    count nor get flagged. ``settle`` stores the repeated keys before the join and says if they are few;
+    their hashes alone are counted first, so that keys met once are seldom shuffled as a whole.
     """
     place = F.struct(*[F.col(c) for c in order])
     seen = df if where is None else df.filter(where)
+    if settle:
+        hashes, few = settle(seen.groupBy(F.xxhash64(*keys).alias("_h")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_h"), FEW_HASHES)
+        if few:
+            seen = seen.withColumn("_h", F.xxhash64(*keys)).join(F.broadcast(hashes), "_h", "left_semi").drop("_h")
     first = _repeated_keys(seen, keys, F.min(place).alias("_first"))
-    marked = group_left_join(df, first, keys)
+    first, few = settle(first) if settle else (first, False)
+    marked = group_left_join(df, first, keys, few)
     late = F.coalesce(place > F.col("_first"), F.lit(False))
     return marked.withColumn(out, late if where is None else late & F.coalesce(where, F.lit(False))).drop("_first")
 

@@ -1,6 +1,8 @@
 """Group totals judged against a target and brought back to the rows."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +36,13 @@ def flag_group_sum(
     alternative: tuple[float, float] | None = (1.0, 0.01),
     null_keys: str = "skip",
     out: str = "_bad_total",
+    settle: Callable[..., tuple[DataFrame, bool]] | None = None,
 ) -> DataFrame:
     """Adds the group's total on rows of groups that miss the target, else NULL.
 
     ``where`` limits both the rows summed and the rows flagged. Rows with a
-    NULL key are never judged ("skip") or form a group of their own ("group").
+    NULL key are never judged ("skip") or form a group of their own ("group"). ``settle`` stores the
+    totals before the join and says if they are few.
     """
     judged = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     if null_keys == "skip":
@@ -46,4 +50,5 @@ def flag_group_sum(
             judged = judged & F.col(k).isNotNull()
     totals = df.filter(judged).groupBy(*keys).agg(F.sum(value).alias(out))
     bad = totals.filter(off_target(F.col(out), target, tolerance, alternative))
-    return group_left_join(df, bad, keys).withColumn(out, F.when(judged, F.col(out)))
+    bad, few = settle(bad) if settle else (bad, False)
+    return group_left_join(df, bad, keys, few).withColumn(out, F.when(judged, F.col(out)))

@@ -1,6 +1,8 @@
 """References between tables: presence flags, semi and anti joins."""
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,10 +14,15 @@ def is_empty(df: DataFrame) -> Column:
     return df.limit(1).agg((F.count(F.lit(1)) == 0).alias("_empty")).scalar()
 
 
-def mark_present(df: DataFrame, key: str, parent: DataFrame, parent_key: str, out: str = "_present") -> DataFrame:
-    """Adds a BOOLEAN: does ``key`` occur among the parent's keys?"""
+def mark_present(
+    df: DataFrame, key: str, parent: DataFrame, parent_key: str, out: str = "_present",
+    settle: Callable[..., tuple[DataFrame, bool]] | None = None,
+) -> DataFrame:
+    """Adds a BOOLEAN: does ``key`` occur among the parent's keys? ``settle`` stores those before the join and says if
+    they are few."""
     known = parent.select(F.col(parent_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
-    marked = group_left_join(df, known.withColumn(out, F.lit(True)), [key])
+    known, few = settle(known) if settle else (known, False)
+    marked = group_left_join(df, known.withColumn(out, F.lit(True)), [key], few)
     return marked.withColumn(out, F.coalesce(F.col(out), F.lit(False)))
 
 
@@ -25,9 +32,15 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return child.filter(F.col(key).isNotNull()).join(keys, F.col(key) == F.col("_parent_key"), "left_anti")
 
 
-def having_parent(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key has a parent; also the cascade after parents go."""
+def having_parent(
+    child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None, settle: Callable[..., tuple[DataFrame, bool]] | None = None,
+) -> DataFrame:
+    """Child rows whose key has a parent; also the cascade after parents go. ``settle`` stores the parents' keys before
+    the join and says if they are few."""
     keys = parent.select(F.col(parent_key or key).alias("_parent_key"))
+    if settle:
+        keys, few = settle(keys.distinct())
+        keys = F.broadcast(keys) if few else keys
     return child.join(keys, F.col(key) == F.col("_parent_key"), "left_semi")
 
 

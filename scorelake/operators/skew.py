@@ -17,7 +17,7 @@ def group_left_join(rows: DataFrame, groups: DataFrame, on: list[str], broadcast
     Both sides enter the join straight from a shuffle on the plain keys. Where a key holds
     a third of all rows, the adaptive skew join cuts the row side of its partition into
     pieces and gives each the one row of its group; no other key pays for it. ``broadcast``
-    is for groups of a size bounded by type.
+    is for groups of a size bounded by type, or stored and counted.
     """
     payload = [c for c in groups.columns if c not in on]
     small = groups.select(*[F.col(c).alias(f"_key_{i}") for i, c in enumerate(on)], *payload)

@@ -8,6 +8,7 @@ first" refers to it.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 from typing import NamedTuple
 
@@ -21,7 +22,7 @@ from scorelake.operators.duplicates import flag_duplicates
 from scorelake.operators.group_sums import flag_group_sum
 from scorelake.operators.references import is_empty, mark_present
 from scorelake.plans.schemas import PRIMARY_KEY, VALIDATED
-from scorelake.sources.checkpoint import materialize
+from scorelake.sources.checkpoint import COMPACT, Steps, materialize
 from scorelake.sources.parallel import together
 from scorelake.sources.readers import ORDINAL
 
@@ -143,19 +144,21 @@ def label_assessments(
     subjects: DataFrame | None = None,
     tolerance: float = 0.5,
     null_keys: str = "skip",
+    steps: Steps | None = None,
 ) -> DataFrame:
     """Row rules first; then whole groups whose weights do not sum to 100 (or 1).
 
     Groups are (subject, period), or subject alone when no still-valid row
-    carries a period.
+    carries a period. ``steps`` keeps what is stored on the way until it is cleared.
     """
+    settle = steps.groups if steps else None
     number = float_or_null(F.replace("weight_percentage", F.lit(","), F.lit(".")))
-    marked = flag_duplicates(df.withColumn("_number", F.nanvl(number, F.lit(None))), ["assessment_id"], order)
+    marked = flag_duplicates(df.withColumn("_number", F.nanvl(number, F.lit(None))), ["assessment_id"], order, settle=settle)
     unknown = F.lit(False)
     if subjects is not None:
         marked = marked.withColumn("_subject", strip_text(F.col("subject_id")))
         known = subjects.select(strip_text(F.col("subject_id")).alias("subject_id"))
-        marked = mark_present(marked, "_subject", known, "subject_id")
+        marked = mark_present(marked, "_subject", known, "subject_id", settle=settle)
         unknown = ~is_blank(F.col("subject_id")) & ~F.col("_present") & ~is_empty(known)
     weight = F.col("_number")
     by_row = first_reason(
@@ -169,11 +172,11 @@ def label_assessments(
     rows = marked.withColumns({"error_reason": by_row, "_weight": weight.try_cast("decimal(18,6)")})
     rows = rows.drop("_duplicate", "_subject", "_present", "_number")
     # Stored here: the period test, the group sums and the rows all read it.
-    rows = materialize(rows, "assessment-rows")
+    rows = steps.next(rows, "assessment-rows") if steps else materialize(rows, "assessment-rows", COMPACT)
     sound = F.col("error_reason").isNull()
     by_period = not rows.filter(sound & ~is_blank(F.col("period_id"))).isEmpty()
     keys = ["subject_id", "period_id"] if by_period else ["subject_id"]
-    rows = flag_group_sum(rows, keys, F.col("_weight"), sound, 100, tolerance, (1.0, 0.01), null_keys)
+    rows = flag_group_sum(rows, keys, F.col("_weight"), sound, 100, tolerance, (1.0, 0.01), null_keys, settle=settle)
     subject = F.coalesce(F.col("subject_id"), F.lit("nan"))
     period = F.coalesce(F.col("period_id"), F.lit("nan"))
     pair = F.concat(F.lit("("), _quoted(subject), F.lit(", "), _quoted(period), F.lit(")"))
@@ -192,23 +195,31 @@ def label_grades(
     students: DataFrame | None = None,
     assessments: DataFrame | None = None,
     max_scale: float = 5.0,
+    steps: Steps | None = None,
 ) -> DataFrame:
     """``_fixed_score`` carries the comma-corrected score of a valid row;
-    ``score`` keeps the text as it came, which is what errors show."""
+    ``score`` keeps the text as it came, which is what errors show.
+
+    With ``steps`` the rows are stored after every join that shuffles them, and parsed after the last one.
+    """
     text = strip_text(F.col("score"))
     dotted = F.when(text.rlike(COMMA_DECIMAL), F.replace(text, F.lit(","), F.lit("."))).otherwise(text)
+    cells = {"_dotted": dotted, "_value": float_or_null(dotted), "_day": parse_date_multi(F.col("submission_date"))}
     # Parsed before the joins, so that a later filter on the reason reuses them.
-    parsed = df.withColumns({"_dotted": dotted, "_value": float_or_null(dotted), "_day": parse_date_multi(F.col("submission_date"))})
+    rows = df if steps else df.withColumns(cells)
+    settle = steps.groups if steps else None
     keys = [c for c in ["student_id", "assessment_id", "score", "submission_date"] if c in df.columns]
-    rows = flag_duplicates(parsed, keys, order) if len(keys) >= 2 else parsed.withColumn("_duplicate", F.lit(False))
+    rows = flag_duplicates(rows, keys, order, settle=settle) if len(keys) >= 2 else rows.withColumn("_duplicate", F.lit(False))
     unknown = {}
     for key, parent in (("student_id", students), ("assessment_id", assessments)):
         unknown[key] = F.lit(False)
         if parent is not None:
             known = parent.select(strip_text(F.col(key)).alias(key))
+            rows = steps.next(rows, "grade-rows") if steps else rows
             rows = rows.withColumn("_key", _shown(F.col(key)))
-            rows = mark_present(rows, "_key", known, key, f"_has_{key}").drop("_key")
+            rows = mark_present(rows, "_key", known, key, f"_has_{key}", settle).drop("_key")
             unknown[key] = ~F.col(f"_has_{key}") & ~is_empty(known)
+    rows = rows.withColumns(cells) if steps else rows
     raw, day, value, parsed = F.col("score"), F.col("submission_date"), F.col("_value"), F.col("_day")
     comma, dotted, dated = text != F.col("_dotted"), F.col("_dotted"), ~is_blank(day)
     reason = first_reason(
@@ -275,13 +286,15 @@ def split(labelled: DataFrame, entity: str) -> Split:
 
 
 def validate_all(
-    tables: dict[str, DataFrame], order: dict[str, list[str]], as_of: Column, max_scale: float = 5.0
+    tables: dict[str, DataFrame], order: dict[str, list[str]], as_of: Column, max_scale: float = 5.0,
+    sink: Callable[[str, Split], Split] | None = None,
 ) -> dict[str, Split]:
     """All entities in dependency order, valid keys feeding the next rules.
 
     Every labelled frame is written once, so neither the three outputs nor the
     later entities run its joins again. Entities that do not depend on each
-    other are validated side by side.
+    other are validated side by side. ``sink`` (entity, split) -> split stores the three outputs; the
+    labelled frame is deleted after that.
     """
     done: dict[str, Split] = {}
 
@@ -289,17 +302,23 @@ def validate_all(
         return done[entity].valid if entity in done else None
 
     labels = {
-        "courses": lambda df, o: label_courses(df, o),
-        "subjects": lambda df, o: label_subjects(df, o),
-        "attendance": lambda df, o: label_attendance(df),
-        "students": lambda df, o: label_students(df, o, as_of, valid("courses")),
-        "assessments": lambda df, o: label_assessments(df, o, valid("subjects")),
-        "grades": lambda df, o: label_grades(df, o, as_of, valid("students"), valid("assessments"), max_scale),
+        "courses": lambda df, o, s: label_courses(df, o),
+        "subjects": lambda df, o, s: label_subjects(df, o),
+        "attendance": lambda df, o, s: label_attendance(df),
+        "students": lambda df, o, s: label_students(df, o, as_of, valid("courses")),
+        "assessments": lambda df, o, s: label_assessments(df, o, valid("subjects"), steps=s),
+        "grades": lambda df, o, s: label_grades(df, o, as_of, valid("students"), valid("assessments"), max_scale, s),
     }
 
     def judge(entity: str) -> Split:
-        labelled = labels[entity](tables[entity], order.get(entity, [ORDINAL]))
-        return split(materialize(labelled, f"labelled-{entity}"), entity)
+        steps = Steps(tables[entity].sparkSession)
+        try:
+            labelled = labels[entity](tables[entity], order.get(entity, [ORDINAL]), steps)
+            if sink is None:
+                return split(materialize(labelled, f"labelled-{entity}", COMPACT), entity)
+            return sink(entity, split(steps.next(labelled, f"labelled-{entity}"), entity))
+        finally:
+            steps.clear()
 
     for wave in (["courses", "subjects", "attendance"], ["students", "assessments"], ["grades"]):
         jobs = {e: partial(judge, e) for e in wave if e in tables}
