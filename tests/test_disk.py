@@ -85,3 +85,21 @@ def test_steps_keep_the_newest_frame(spark):
         kept = materialize(second, "kept")
         steps.clear()
         assert kinds(folder) == {"kept"} and kept.count() == 3
+
+
+def test_counts_that_are_stored_give_the_same_report(spark):
+    from scorelake.plans import reconcile
+
+    tables = {"grades": spark.range(3), "students": spark.range(2)}
+    kept = []
+    plain = reconcile.reconcile(tables, tables, {}, {}, {"grades": spark.range(1)})
+    stored = reconcile.reconcile(tables, tables, {}, {}, {"grades": spark.range(1)}, lambda df: kept.append(df.count()) or df)
+    assert rows(stored) == rows(plain) and kept == [1] * 5
+
+
+def test_report_of_entities_deletes_what_was_entered_for_it(spark):
+    from scorelake.demo.queries import REGISTRY
+
+    with scratch(spark) as folder:
+        REGISTRY["reconcile_entities"](spark, "/root/testdata/sf0.001")
+        assert kinds(folder) == {f"labelled-{e}" for e in ("courses", "subjects", "students", "assessments", "grades", "attendance")} | {"frame"}
