@@ -103,3 +103,21 @@ def test_report_of_entities_deletes_what_was_entered_for_it(spark):
     with scratch(spark) as folder:
         REGISTRY["reconcile_entities"](spark, "/root/testdata/sf0.001")
         assert kinds(folder) == {f"labelled-{e}" for e in ("courses", "subjects", "students", "assessments", "grades", "attendance")} | {"frame"}
+
+
+def test_run_deletes_its_copies_once_they_are_landed(spark, monkeypatch):
+    """Uploads go when the raw layer has them, labelled frames when their sinks are stored."""
+    from scorelake.demo.queries import REGISTRY
+    from scorelake.plans import layers
+
+    seen, stage_all = [], layers.stage_all
+    root = Path(checkpoint.checkpoint_root(spark)) / "scorelake"
+
+    def staged(*given):
+        scratched = Path(spark.conf.get(checkpoint.SCRATCH))
+        seen.append((kinds(scratched), {k for k in kinds(root) if k.startswith("upload")}))
+        return stage_all(*given)
+
+    monkeypatch.setattr(layers, "stage_all", staged)
+    assert REGISTRY["run_layers"](spark, "/root/testdata/sf0.001").count() == 6
+    assert seen == [(set(), set())]
