@@ -121,3 +121,33 @@ def test_run_deletes_its_copies_once_they_are_landed(spark, monkeypatch):
     monkeypatch.setattr(layers, "stage_all", staged)
     assert REGISTRY["run_layers"](spark, "/root/testdata/sf0.001").count() == 6
     assert seen == [(set(), set())]
+
+
+def test_compressed_uploads_are_read_like_plain_ones(spark, tmp_path):
+    """A table of compressed parts, and one that is a compressed file, profile as their plain texts do."""
+    import gzip
+
+    from scorelake.plans import profile
+    from scorelake.sources import uploads
+
+    parts = ["id,nota\n1,5\n2,\n", "id,nota\n3,4\n4,5\n"]
+    for name, pack, ending in (("plain", str.encode, ""), ("packed", lambda t: gzip.compress(t.encode()), ".gz")):
+        table = tmp_path / name / "libro" / "notas.csv"
+        table.mkdir(parents=True)
+        for i, text in enumerate(parts):
+            (table / f"part-{i}.csv{ending}").write_bytes(pack(text))
+        (tmp_path / name / "libro" / f"una.csv{ending}").write_bytes(pack("a\n7\n"))
+    plain, packed = (uploads.read_uploads(spark, str(tmp_path / n)) for n in ("plain", "packed"))
+    got = rows(profile.profile_cells(packed.cells, packed.catalog))
+    assert len(got) == 3 and got == rows(profile.profile_cells(plain.cells, plain.catalog))
+
+
+def test_proposed_uploads_are_compressed_and_free_their_shuffles(spark):
+    from scorelake.demo.queries import REGISTRY
+
+    folders = set((Path(checkpoint.checkpoint_root(spark)) / "scorelake").glob("io-*"))
+    got = REGISTRY["propose_uploads"](spark, "/root/testdata/sf0.001")
+    assert got.count() == 7
+    (new,) = set((Path(checkpoint.checkpoint_root(spark)) / "scorelake").glob("io-*")) - folders
+    files = [p.name for p in new.rglob("part-*")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
