@@ -151,3 +151,18 @@ def test_proposed_uploads_are_compressed_and_free_their_shuffles(spark):
     (new,) = set((Path(checkpoint.checkpoint_root(spark)) / "scorelake").glob("io-*")) - folders
     files = [p.name for p in new.rglob("part-*")]
     assert files and all(f.endswith(".csv.gz") for f in files)
+
+
+def test_manifest_of_files_that_are_no_single_value(spark, monkeypatch):
+    """Files longer than Spark takes as one value still have both digests."""
+    from scorelake.demo.queries import REGISTRY
+    from scorelake.sources import writers
+
+    setting = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(setting, "5000")
+    monkeypatch.setattr(writers, "ONE_VALUE", 5000, raising=False)
+    try:
+        got = REGISTRY["manifest"](spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.unset(setting)
+    assert len(got) == 14 and all(r["digests_agree"] for r in got)
